@@ -14,6 +14,17 @@ from pyspark.sql import functions as F
 BROADCAST_IDS = 2_000_000
 
 
+#: Bytes of an Arrow batch sent to a Python worker (at least one row each); memory then follows the longest row.
+BATCH_BYTES = "4m"
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Bound the session's Arrow batches by bytes, unless they are bounded lower already."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, None) in (None, "67108864", "67108864b", "64m", "64MB"):
+        spark.conf.set(key, BATCH_BYTES)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: the cluster's spark.checkpoint.dir, or a fresh local one if unset."""
     path = spark.conf.get("spark.checkpoint.dir", None)

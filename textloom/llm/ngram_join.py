@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm._common import discard, load, materialise, mix64, pieces, semi_by_id, strings
+from textloom.llm._common import bounded_batches, discard, load, materialise, mix64, pieces, semi_by_id, strings
 from textloom.llm.components import components
 from textloom.llm.shingles import shingle_sets
 
@@ -237,6 +237,7 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     their own component. Repeated ids are rows of their own that share one node. An empty table gives no rows; other
     columns are ignored, whatever their names.
     """
+    bounded_batches(docs.sparkSession)
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).where("id is not null")
     sig = materialise(docs.mapInArrow(_signatures, "id long, n long, d1 long, d2 long, vec binary, keys array<long>"), "signatures")
     classes = materialise(sig.where("n > 0").groupBy("d1", "d2").agg(F.min("id").alias("id")), "classes")

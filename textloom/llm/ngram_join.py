@@ -185,38 +185,39 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _tree_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (key, ci, cj, own, id, comp, n, vec) sorted by (key, ci, cj): candidate pairs of different components."""
+    """Rows (key, ci, cj, own, id, comp, n, vec, keys) sorted by (key, ci, cj): candidate pairs of different components,
+    each given out under the smallest of the pair's common routing keys only."""
 
-    def block(rows):
-        own = np.array([r[0] for r in rows])
-        ids, comp, n = (np.array([r[k] for r in rows], np.int64) for k in (1, 2, 3))
+    def block(key, rows):
+        own, ids, comp, n = np.array([r[:4] for r in rows], np.int64).T
         if comp.min() == comp.max():
-            return []
+            return
         points = np.frombuffer(b"".join(r[4] for r in rows), np.uint16).reshape(len(rows), GROUPS)
-        tree, found = CountTree(points, n), []
-        cross = own.min() != own.max()
+        tree, cross = CountTree(points, n), own.min() != own.max()
         for x in range(len(rows)):
             near = tree.near(points[x].astype(np.int32), int(n[x]))
             near = near[(comp[near] != comp[x]) & (ids[near] > ids[x])]
             if cross:
                 near = near[own[near] != own[x]]
-            found += [(int(ids[x]), int(y)) for y in ids[near]]
-        return found
+            for y in near.tolist():
+                if min(rows[x][5] & rows[y][5], default=key) == key:
+                    yield int(ids[x]), int(ids[y])
 
-    def out(pairs):
+    def out(key, rows):
+        pairs = list(block(key, rows)) if len(rows) > 1 else []
         return pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.int64()), pa.array([p[1] for p in pairs], pa.int64())], ["u", "v"])
 
-    last, rows = None, []
+    last, rows = (0,), []
     for batch in batches:
-        cols = [c.to_pylist() for c in batch.columns]
-        for at, *row in zip(zip(*cols[:3], strict=True), *cols[3:], strict=True):
+        *cols, lists = batch.columns
+        cols = [c.to_pylist() for c in cols]
+        offsets, values = lists.offsets.to_pylist(), lists.values.to_pylist()
+        for k, (at, *row) in enumerate(zip(zip(*cols[:3], strict=True), *cols[3:], strict=True)):
             if at != last:
-                if len(rows) > 1:
-                    yield out(block(rows))
+                yield out(last[0], rows)
                 last, rows = at, []
-            rows.append(row)
-    if len(rows) > 1:
-        yield out(block(rows))
+            rows.append((*row, frozenset(values[offsets[k] : offsets[k + 1]])))
+    yield out(last[0], rows)
 
 
 def _verify(pairs: DataFrame, docs: DataFrame) -> DataFrame:
@@ -255,7 +256,7 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     mixed = rows.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("k")).where("lo < hi").select("key", F.ceil(F.col("k") / BLOCK).cast("int").alias("blocks"))
     left = rows.join(mixed, "key").withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     left = left.withColumn("c", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("key", F.least("own", "c").alias("ci"), F.greatest("own", "c").alias("cj"), "own", "id", "comp")
-    left = left.join(sig.select("id", "n", "vec"), "id").select("key", "ci", "cj", "own", "id", "comp", "n", "vec")
+    left = left.join(sig.select("id", "n", "vec", "keys"), "id").select("key", "ci", "cj", "own", "id", "comp", "n", "vec", "keys")
     left = left.repartition("key", "ci", "cj").sortWithinPartitions("key", "ci", "cj")
     more = _verify(left.mapInArrow(_tree_pairs, "u long, v long").distinct(), docs)
     merged = components(links.union(more))

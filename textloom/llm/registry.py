@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from textloom.llm import ngram_join
+from textloom.llm import decontaminate, ngram_join, toxicity
 
 
 def queries() -> dict:
-    return {"op6_ngram_join": ngram_join.op6_ngram_join}
+    return {
+        "op2_toxicity": toxicity.op2_toxicity,
+        "op3_decontaminate": decontaminate.op3_decontaminate,
+        "op6_ngram_join": ngram_join.op6_ngram_join,
+    }
 
 
 def oracle_sql() -> dict:

@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
-from textloom.llm import decontaminate, ngram_join, toxicity
+from textloom.llm import decontaminate, line_dedup, ngram_join, toxicity
 
 
 def queries() -> dict:
     return {
         "op2_toxicity": toxicity.op2_toxicity,
         "op3_decontaminate": decontaminate.op3_decontaminate,
+        "op4_line_dedup": line_dedup.op4_line_dedup,
         "op6_ngram_join": ngram_join.op6_ngram_join,
     }
 
 
 def oracle_sql() -> dict:
-    return {"op6_ngram_join": ngram_join.ORACLE}
+    return {
+        "op4_line_dedup": line_dedup.ORACLE,
+        "op6_ngram_join": ngram_join.ORACLE,
+    }

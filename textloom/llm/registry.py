@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from textloom.llm import decontaminate, line_dedup, ngram_join, toxicity
+from textloom.llm import decontaminate, line_dedup, mixing, ngram_join, toxicity
 
 
 def queries() -> dict:
@@ -11,6 +11,7 @@ def queries() -> dict:
         "op3_decontaminate": decontaminate.op3_decontaminate,
         "op4_line_dedup": line_dedup.op4_line_dedup,
         "op6_ngram_join": ngram_join.op6_ngram_join,
+        "op7_mixing": mixing.op7_mixing,
     }
 
 
@@ -18,4 +19,5 @@ def oracle_sql() -> dict:
     return {
         "op4_line_dedup": line_dedup.ORACLE,
         "op6_ngram_join": ngram_join.ORACLE,
+        "op7_mixing": mixing.ORACLE,
     }

@@ -1,8 +1,22 @@
-"""Stages of the training-data pipeline; filled in as their operators are added."""
+"""The training-data pipeline: toxicity, line dedup, near duplicates, decontamination, mixing to target weights.
 
+STAGES lists (name, function); each function takes (spark, docs, sf_dir). run() writes each stage's rows as Parquet in
+the shared folder and rereads them as the next stage's docs.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+from textloom.llm._common import load, materialise
+from textloom.llm.pipeline_stages import STAGES
+
+#: The toxicity model and the banded alignment can't be expressed in SQL; tests/llm holds run() against brute force.
 ORACLE_SQL = None
-STAGES: list = []
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = materialise(stage(spark, docs, sf_dir), f"stage-{name}")
+    return docs

@@ -2,22 +2,30 @@
 
 from __future__ import annotations
 
-from textloom.llm import decontaminate, line_dedup, mixing, ngram_join, toxicity
+from textloom.llm import ann, chat, decontaminate, html_extract, language_id, line_dedup, mixing, ngram_join, secrets, toxicity
 
 
 def queries() -> dict:
     return {
+        "op1_html_extract": html_extract.op1_html_extract,
         "op2_toxicity": toxicity.op2_toxicity,
         "op3_decontaminate": decontaminate.op3_decontaminate,
         "op4_line_dedup": line_dedup.op4_line_dedup,
+        "op5_secrets": secrets.op5_secrets,
         "op6_ngram_join": ngram_join.op6_ngram_join,
         "op7_mixing": mixing.op7_mixing,
+        "op8_language_id": language_id.op8_language_id,
+        "op9_chat_format": chat.op9_chat_format,
+        "op10_ann": ann.op10_ann,
     }
 
 
 def oracle_sql() -> dict:
+    """Operators 1, 2, 3, 5 and 8 can't be expressed in SQL; tests/llm has their brute-force versions."""
     return {
         "op4_line_dedup": line_dedup.ORACLE,
         "op6_ngram_join": ngram_join.ORACLE,
         "op7_mixing": mixing.ORACLE,
+        "op9_chat_format": chat.ORACLE,
+        "op10_ann": ann.ORACLE,
     }

@@ -30,15 +30,21 @@ def _tokens(line):
     return F.split(F.trim(masked), r"\s+")
 
 
-def _keys(t):
-    """Template hashes of a token array."""
+def _hashes(t):
+    """Of a token array: its size n, and hashes of the leading tokens (lead), of each quarter of the others (h) and, for a
+    short line, of all; each is computed once here, and templates are put together from them."""
     n = F.size(t)
     q = F.ceil((n - 2) / F.lit(4)).cast("int")
-    lead = F.xxhash64(n, F.slice(t, 1, 2))
-    h = [F.xxhash64(F.slice(t, 3 + i * q, q)) for i in range(4)]
-    wild = [F.xxhash64(lead, F.lit(i), *(h[k] for k in range(4) if k != i)) for i in range(4)]
-    own = F.xxhash64(lead, *h)
-    return F.when(n < MIN_TOKENS, F.array().cast("array<long>")).when(n < LONG, F.array(F.xxhash64(n, t))).otherwise(F.array(own, *wild))
+    h = F.when(n >= LONG, F.array(*(F.xxhash64(F.slice(t, 3 + i * q, q)) for i in range(4))))
+    return F.struct(n.alias("n"), F.xxhash64(n, F.when(n < LONG, t).otherwise(F.slice(t, 1, 2))).alias("lead"), h.alias("h"), _least_word(t).alias("m"))
+
+
+def _keys(x):
+    """Template hashes from _hashes()."""
+    h = [x["h"][i] for i in range(4)]
+    wild = [F.xxhash64(x["lead"], F.lit(i), *(h[k] for k in range(4) if k != i)) for i in range(4)]
+    none = F.array().cast("array<long>")
+    return F.when(x["n"] < MIN_TOKENS, none).when(x["n"] < LONG, F.array(x["lead"])).otherwise(F.array(F.xxhash64(x["lead"], *h), *wild))
 
 
 def _least_word(t):
@@ -62,13 +68,13 @@ def drop_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
     rows = named.select(F.col("__rid").alias("rid"), F.col("__h").alias("h"), F.col(text_col).cast("string").alias("text")).where("text is not null")
     rows = rows.select("rid", "h", F.split("text", "\n", -1).alias("lines"))
     per_doc = rows.select("rid", "h", F.transform("lines", _tokens).alias("ts"))
-    per_doc = per_doc.select("rid", "h", F.transform("ts", lambda t: F.struct(_keys(t).alias("keys"), _least_word(t).alias("m"))).alias("ls"))
+    per_doc = per_doc.select("rid", "h", F.transform("ts", _hashes).alias("ls"))
     ranked = F.transform("ls", lambda x, i: F.struct(x["m"].alias("m"), i.alias("i")))
     per_doc = per_doc.withColumn("first", F.array_min(F.filter(ranked, lambda x: x["m"].isNotNull())))
     per_doc = per_doc.withColumn("second", F.array_min(F.filter(ranked, lambda x: x["m"].isNotNull() & (x["i"] != F.col("first.i"))))["m"])
     lines = per_doc.select("rid", "h", F.posexplode("ls").alias("pos", "l"), "first", "second")
     ctx = F.xxhash64(F.when(F.col("pos") == F.col("first.i"), F.col("second")).otherwise(F.col("first.m")))
-    lines = materialise(lines.select("rid", "h", "pos", F.col("l.keys").alias("keys"), ctx.alias("ctx")).where(F.size("keys") > 0), "lines")
+    lines = materialise(lines.select("rid", "h", "pos", _keys(F.col("l")).alias("keys"), ctx.alias("ctx")).where(F.size("keys") > 0), "lines")
 
     keys = materialise(recurring(lines), "templates")
     side = F.broadcast(keys) if keys.count() <= BROADCAST_IDS else keys

@@ -51,6 +51,18 @@ def _least_word(t):
     return F.array_min(F.transform(F.filter(t, lambda w: F.length(w) >= LETTERS), lambda w: F.md5(w.cast("binary"))))
 
 
+def _two_least(lines):
+    """struct(m, i, m2) in one pass: the least word hash of a document's lines, its line, and the least of the other lines."""
+    start = F.struct(F.lit(None).cast("string").alias("m"), F.lit(-1).alias("i"), F.lit(None).cast("string").alias("m2"))
+
+    def step(a, x):
+        least = F.struct(x["m"].alias("m"), x["i"].alias("i"), a["m"].alias("m2"))
+        next_one = F.struct(a["m"].alias("m"), a["i"].alias("i"), x["m"].alias("m2"))
+        return F.when(x["m"].isNull(), a).when(a["m"].isNull() | (x["m"] < a["m"]), least).when(a["m2"].isNull() | (x["m"] < a["m2"]), next_one).otherwise(a)
+
+    return F.aggregate(F.transform(lines, lambda x, i: F.struct(x["m"].alias("m"), i.alias("i"))), start, step)
+
+
 def recurring(lines: DataFrame) -> DataFrame:
     """The keys of recurring templates. Counting is in two steps with partial sums, so a hot template stays spread."""
     uses = lines.select(F.explode("keys").alias("key"), "ctx").groupBy("key", "ctx").agg(F.count("*").alias("n"))
@@ -69,12 +81,11 @@ def drop_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
     rows = rows.select("rid", "h", F.split("text", "\n", -1).alias("lines"))
     per_doc = rows.select("rid", "h", F.transform("lines", _tokens).alias("ts"))
     per_doc = per_doc.select("rid", "h", F.transform("ts", _hashes).alias("ls"))
-    ranked = F.transform("ls", lambda x, i: F.struct(x["m"].alias("m"), i.alias("i")))
-    per_doc = per_doc.withColumn("first", F.array_min(F.filter(ranked, lambda x: x["m"].isNotNull())))
-    per_doc = per_doc.withColumn("second", F.array_min(F.filter(ranked, lambda x: x["m"].isNotNull() & (x["i"] != F.col("first.i"))))["m"])
-    lines = per_doc.select("rid", "h", F.posexplode("ls").alias("pos", "l"), "first", "second")
-    ctx = F.xxhash64(F.when(F.col("pos") == F.col("first.i"), F.col("second")).otherwise(F.col("first.m")))
-    lines = materialise(lines.select("rid", "h", "pos", _keys(F.col("l")).alias("keys"), ctx.alias("ctx")).where(F.size("keys") > 0), "lines")
+    per_doc = per_doc.select("rid", "h", "ls", _two_least(F.col("ls")).alias("top"))
+    # not posexplode(): its inferred filter on the array's size would compute every hash twice; a text has a line at least
+    lines = per_doc.select("rid", "h", F.posexplode_outer("ls").alias("pos", "l"), "top").where(F.col("l.n") >= MIN_TOKENS)
+    ctx = F.xxhash64(F.when(F.col("pos") == F.col("top.i"), F.col("top.m2")).otherwise(F.col("top.m")))
+    lines = materialise(lines.select("rid", "h", "pos", _keys(F.col("l")).alias("keys"), ctx.alias("ctx")), "lines")
 
     keys = materialise(recurring(lines), "templates")
     side = F.broadcast(keys) if keys.count() <= BROADCAST_IDS else keys

@@ -19,8 +19,10 @@ def query(name: str, sql: str | None = None):
 
 
 def queries() -> dict:
+    from textloom.plans import queries as _  # noqa: F401
     return dict(QUERIES)
 
 
 def oracle_sql() -> dict:
+    from textloom.plans import queries as _  # noqa: F401
     return dict(ORACLES)

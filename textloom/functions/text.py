@@ -29,6 +29,11 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, f) -> Column:
+    """f(value) with value computed once, however often f uses it and wherever the optimizer moves the expression."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
 @cache
 def folding_map() -> tuple[str, str]:
     """(from, to): every code point whose canonical decomposition without marks is one other character."""
@@ -75,8 +80,12 @@ def tokenize(text: Column | str, preserve_case: bool = False) -> Column:
 
 def shingles(tokens: Column, size: int = 5) -> Column:
     """Distinct runs of size tokens joined by spaces; fewer tokens give one shingle of all; none gives the empty string."""
-    runs = F.transform(F.sequence(F.lit(0), F.size(tokens) - size), lambda i: F.array_join(F.slice(tokens, i + 1, size), " "))
-    return F.when(F.size(tokens) < size, F.array(F.array_join(tokens, " "))).otherwise(F.array_distinct(runs))
+
+    def of(tk: Column) -> Column:
+        runs = F.transform(F.sequence(F.lit(0), F.size(tk) - size), lambda i: F.array_join(F.slice(tk, i + 1, size), " "))
+        return F.when(F.size(tk) < size, F.array(F.array_join(tk, " "))).otherwise(F.array_distinct(runs))
+
+    return let(tokens, of)
 
 
 def sentences(text: Column | str) -> Column:
@@ -121,10 +130,12 @@ def contained_in(tokens: Column, words: list[str]) -> Column:
 
 def substring_count(text: Column, phrases: list[str]) -> Column:
     """Sum over phrases of their non-overlapping occurrences in text; a phrase given twice counts twice."""
-    def once(p: Column) -> Column:
-        return F.floor((F.length(text) - F.length(F.replace(text, p, F.lit("")))) / F.length(p))
 
-    return F.aggregate(F.array(*map(F.lit, phrases)), F.lit(0).cast("long"), lambda a, p: a + once(p))
+    def of(t: Column) -> Column:
+        once = lambda p: F.floor((F.length(t) - F.length(F.replace(t, p, F.lit("")))) / F.length(p))
+        return F.aggregate(F.array(*map(F.lit, phrases)), F.lit(0).cast("long"), lambda a, p: a + once(p))
+
+    return let(text, of)
 
 
 def contains_any(text: Column, phrases: list[str]) -> Column:

@@ -11,6 +11,8 @@ import math
 import random
 from functools import cache
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,10 +27,14 @@ def shingle_sets(docs: DataFrame, id_col: str, text_col: str = "text", size: int
     tokens = docs.where(F.col(text_col) != "").select(F.col(id_col).alias("id"), T.tokenize(T.canonicalize(text_col)).alias("tk"))
     if exclude_empty:
         tokens = tokens.where(F.size("tk") > 0)
-    tk = F.col("tk")
-    runs = F.transform(F.sequence(F.lit(0), F.size(tk) - size), lambda i: F.xxhash64(F.slice(tk, i + 1, size)))
-    h = F.when(F.size(tk) < size, F.array(F.xxhash64(tk))).otherwise(runs)
-    return tokens.select("id", F.array_sort(F.array_distinct(h)).alias("h")).withColumn("n", F.size("h"))
+
+    def hashes(tk: Column) -> Column:
+        runs = F.transform(F.sequence(F.lit(0), F.size(tk) - size), lambda i: F.xxhash64(F.slice(tk, i + 1, size)))
+        return F.when(F.size(tk) < size, F.array(F.xxhash64(tk))).otherwise(runs)
+
+    # never null, or joins would infer a null check on it and compute the hashes again below every filter
+    h = F.coalesce(F.sort_array(F.array_distinct(T.let(F.col("tk"), hashes))), F.array().cast("array<long>"))
+    return tokens.select("id", h.alias("h")).withColumn("n", F.size("h"))
 
 
 def classes(sets: DataFrame) -> DataFrame:
@@ -79,9 +85,6 @@ def signature(h: Column, n: int, seed: int = SEED) -> Column:
 
 def signature_udf(n: int, seed: int = SEED):
     """The same values as signature(), by numpy over Arrow batches: several times faster."""
-    import numpy as np
-    import pyarrow as pa
-
     a, b = (np.array(x, np.uint64)[:, None] for x in zip(*coefficients(n, seed), strict=True))
 
     @F.arrow_udf("array<long>")

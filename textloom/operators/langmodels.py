@@ -2,15 +2,18 @@
 
 A model is a function from a text column to a column struct<labels: array<string>, confidences: array<double>>. External
 models are loaded once in each Python worker from a file that the cluster ships; where a file or its library is
-missing, predictions are null. NaiveBayes is a model of built-in functions, trained here, as a stand-in.
+missing, predictions are null. NaiveBayes is a model trained here, as a stand-in.
 """
 
 from __future__ import annotations
 
 import os
+from collections import Counter
 from collections.abc import Callable
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -49,9 +52,9 @@ def absent_model() -> Model:
 
 
 class NaiveBayes:
-    """Word-beginning naive Bayes over built-in functions; features are the first n letters of tokens.
+    """Naive Bayes over word beginnings: features are the first n letters of tokens, which are cut in the JVM.
 
-    The table holds the log-odds of at most `features` features a language and goes into the plan as a literal map."""
+    The table holds the log-likelihoods of at most `features` features a language and is sent with the function."""
 
     def __init__(self, table: dict[str, dict[str, float]], prior: dict[str, float], n: int):
         self.table, self.prior, self.n = table, prior, n
@@ -74,16 +77,25 @@ class NaiveBayes:
         return cls(table, {x: 0.0 for x in langs}, n)
 
     def __call__(self, text: Column) -> Column:
-        feats = F.transform(T.tokenize(text), lambda t: F.substring(t, 1, self.n))
-        scores = []
-        for lang in sorted(self.table):
-            m = F.create_map(*(F.lit(x) for kv in self.table[lang].items() for x in kv))
-            scores.append(F.aggregate(feats, F.lit(self.prior[lang]), lambda a, f, m=m: a + F.coalesce(F.try_element_at(m, f), F.lit(0.0))))
-        s = F.array(*scores)
-        exps = F.transform(s, lambda x: F.exp(x - F.array_max(s)))
-        share = F.transform(exps, lambda e: e / F.aggregate(exps, F.lit(0.0), lambda a, x: a + x))
-        labels = F.array(*(F.lit(f"__label__{x}_Latn") for x in sorted(self.table)))
-        return F.when(F.size(feats) > 0, F.struct(labels.alias("labels"), share.alias("confidences")))
+        langs = sorted(self.table)
+        labels = [f"__label__{x}_Latn" for x in langs]
+        scores = {f: np.array([self.table[x][f] for x in langs]) for f in self.table[langs[0]]} if langs else {}
+        prior = np.array([self.prior[x] for x in langs])
+
+        @F.pandas_udf(RAW)
+        def predict(feats: pd.Series) -> pd.DataFrame:
+            rows = []
+            for own in feats:
+                if own is None or not len(own) or not langs:
+                    rows.append((None, None))
+                    continue
+                s = prior + sum((scores[f] * k for f, k in Counter(own).items() if f in scores), np.zeros(len(langs)))
+                e = np.exp(s - s.max())
+                rows.append((labels, e / e.sum()))
+            return pd.DataFrame(rows, columns=["labels", "confidences"])
+
+        p = predict(F.transform(T.tokenize(text), lambda t: F.substring(t, 1, self.n)))
+        return F.when(p["labels"].isNotNull(), p)
 
 
 @dataclass

@@ -28,8 +28,10 @@ SENTENCE_METRICS = [
 
 
 def sentence_counts(docs: DataFrame, id_cols: list[str], text_col: str = "text") -> DataFrame:
-    """One row for each sentence: id_cols, pos, s and its counts. Documents without text give none."""
-    rows = docs.select(*id_cols, F.posexplode(T.sentences(text_col)).alias("pos", "s"))
+    """One row for each sentence: id_cols, pos, s and its counts. Documents without text give none.
+
+    The outer generator spares the inferred filter that would split every text twice."""
+    rows = docs.select(*id_cols, F.posexplode_outer(T.sentences(text_col)).alias("pos", "s")).where("s is not null")
     rows = rows.withColumns({"tk": T.tokenize("s"), "chars": T.visible_characters(F.col("s")), "low": F.lower("s")})
     s, tk, low = F.col("s"), F.col("tk"), F.col("low")
     flag = lambda c: c.cast("int")
@@ -95,7 +97,7 @@ def normalized_bad_words(spark, phrases: list[str] = BAD_WORDS, dedup: bool = Fa
 def low_language_sentences(docs: DataFrame, id_cols: list[str], predict, target: tuple[str, ...] = ("gn", "gug", "grn"), threshold: float = 0.7, text_col: str = "text") -> DataFrame:
     """(id_cols, n_low): sentences whose summed confidence of the target codes is under threshold. predict maps a sentence
     column to processed predictions array<struct<code, conf>>; a null prediction counts as 0."""
-    rows = docs.select(*id_cols, F.explode(T.sentences(text_col)).alias("s")).withColumn("p", predict(F.col("s")))
+    rows = docs.select(*id_cols, F.explode_outer(T.sentences(text_col)).alias("s")).where("s is not null").withColumn("p", predict(F.col("s")))
     share = F.coalesce(F.aggregate(F.filter("p", lambda x: x["code"].isin(*target)), F.lit(0.0), lambda a, x: a + x["conf"]), F.lit(0.0))
     return rows.groupBy(*id_cols).agg(F.sum((share < threshold).cast("int")).alias("n_low"))
 

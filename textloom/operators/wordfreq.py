@@ -10,7 +10,7 @@ from textloom.functions import text as T
 
 def word_frequencies(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """(token, n) over all documents."""
-    return docs.select(F.explode(T.tokenize(text_col)).alias("token")).groupBy("token").agg(F.count("*").alias("n"))
+    return docs.select(F.explode_outer(T.tokenize(text_col)).alias("token")).where("token is not null").groupBy("token").agg(F.count("*").alias("n"))
 
 
 def top_words(docs: DataFrame, k: int = 200, text_col: str = "text") -> DataFrame:

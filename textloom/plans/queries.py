@@ -275,7 +275,8 @@ z AS (SELECT ma.id, mb.id AS dup_id, similarity FROM x JOIN m ma ON ma.rep = x.a
 
 
 def _sets(spark, sf_dir):
-    return dedup.shingle_sets(table(spark, sf_dir, "documents"), "doc_id")
+    """The sets are read several times by one query: they are persisted, on disk where memory is short."""
+    return dedup.shingle_sets(table(spark, sf_dir, "documents"), "doc_id").persist()
 
 
 @query("exact_jaccard_pairs", f"WITH {_PAIRS} SELECT a, b, round(similarity, 6) AS similarity FROM p")
@@ -379,7 +380,7 @@ def lid_top_k(spark, sf_dir):
 def identify_languages(spark, sf_dir):
     """The voter over three stand-in models that are trained here on whole tables."""
     docs = table(spark, sf_dir, "documents")
-    a, b, c = (langmodels.NaiveBayes.train(docs, n=n, features=150) for n in (2, 3, 4))
+    a, b, c = (langmodels.NaiveBayes.train(docs, n=n, features=300) for n in (2, 3, 4))
     lid = langmodels.LanguageIdentifier(a, b, c, _macro())
     return lid.identify(docs, k=1).select("doc_id", "lang", "prediction.top.code", "prediction.source", "prediction.voting")
 

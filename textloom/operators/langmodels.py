@@ -107,17 +107,18 @@ class LanguageIdentifier:
     openlid: Model | None = None
     macro: Column | None = None
 
-    def processed(self, model: Model | None, text: Column) -> Column:
-        p = (model or absent_model())(text)
+    def processed(self, raw: Column) -> Column:
+        """A raw prediction column as (code, conf) by falling confidence."""
         macro = self.macro if self.macro is not None else F.lit(None).cast("map<string,string>")
-        return F.when(p.isNotNull(), L.process_predictions(p["labels"], p["confidences"], macro))
+        return F.when(raw.isNotNull(), L.process_predictions(raw["labels"], raw["confidences"], macro))
 
     def identify(self, docs: DataFrame, k: int = 3, raw_output: bool = False, text_col: str = "text") -> DataFrame:
         """docs with `prediction`: the vote (see functions.langid.vote), or with raw_output the three lists cut to k."""
         if k <= 0:
             raise ValueError("k must be positive")
         names = ("glotlid", "fasttext", "openlid")
-        rows = docs.withColumns({f"__{n}": self.processed(getattr(self, n), F.col(text_col)) for n in names})
+        rows = docs.withColumns({f"__raw_{n}": (getattr(self, n) or absent_model())(F.col(text_col)) for n in names})
+        rows = rows.withColumns({f"__{n}": self.processed(F.col(f"__raw_{n}")) for n in names}).drop(*(f"__raw_{n}" for n in names))
         lists = [F.col(f"__{n}") for n in names]
         if raw_output:
             out = F.struct(*(F.slice(c, 1, k).alias(n) for c, n in zip(lists, names, strict=True)))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from textloom.functions import text as T
+from textloom.sources.shared import snapshot
 
 RAW = "text string, sentence string, content string, url string, id string, num_words_split long, num_chars long, duplicate struct<minhash: struct<has_duplicate: boolean>>"
 
@@ -21,7 +22,7 @@ def read_corpora(spark: SparkSession, path: str, schema: str = RAW, on_blank: st
     lines = lines.select("value", F.regexp_replace(F.col("_metadata.file_name"), r"\.jsonl$", "").alias("corpus"), F.col("_metadata.file_block_start").alias("__block"))
     blank = F.trim(F.regexp_replace("value", r"\s", "")) == ""
     if on_blank == "error":
-        lines = lines.withColumn("value", F.when(blank, F.raise_error(F.concat(F.lit("blank line in "), "corpus"))).otherwise(F.col("value")))
+        lines = lines.where(F.when(blank, F.raise_error(F.concat(F.lit("blank line in "), "corpus")).cast("boolean")).otherwise(True))
     else:
         lines = lines.where(~blank)
     lines = lines.withColumn("__seq", F.monotonically_increasing_id())
@@ -38,11 +39,17 @@ def assign_ids(docs: DataFrame, corpus_col: str = "corpus", order: tuple[str, ..
     """id = corpus_index, the 0-based place of the line in its corpus. Overwrites an existing id.
 
     Places come from counts by (corpus, partition), which are few, and a running number within each partition, so no
-    corpus is gathered in one task. Without the reader's columns, pass the columns that order a corpus: this needs a
-    window over each corpus."""
+    corpus is gathered in one task. Without the reader's columns, pass the columns that order a corpus: rows are then
+    range-partitioned and sorted by them, and the sorted table is kept in the shared folder."""
     if tuple(order) != ("__block", "__seq"):
-        w = Window.partitionBy(corpus_col).orderBy(*order)
-        return docs.withColumn(id_col, F.concat_ws("_", corpus_col, F.row_number().over(w) - 1))
+        ranged = docs.repartitionByRange(F.col(corpus_col).asc(), *(F.col(c).asc() for c in order)).sortWithinPartitions(corpus_col, *order)
+        rows = snapshot(ranged.withColumn("__seq", F.monotonically_increasing_id()), "ranged").withColumn("__part", F.shiftright(F.col("__seq"), 33))
+        counts = rows.groupBy(corpus_col, "__part").agg(F.count("*").alias("n"), F.min("__seq").alias("first"))
+        before = Window.partitionBy(corpus_col).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+        counts = counts.withColumn("offset", F.coalesce(F.sum("n").over(before), F.lit(0))).withColumnRenamed(corpus_col, "__corpus").drop("n")
+        place = F.col("__seq") - F.col("first") + F.col("offset")
+        out = rows.join(counts.withColumnRenamed("__part", "__p"), F.col(corpus_col).eqNullSafe(F.col("__corpus")) & (F.col("__part") == F.col("__p")))
+        return out.withColumn(id_col, F.concat_ws("_", corpus_col, place)).select(*docs.columns, *([] if id_col in docs.columns else [id_col]))
     part = F.shiftright(F.col("__seq"), 33)
     # a partition may hold blocks of several files: number the lines of (corpus, block, partition), then add offsets
     keys = [corpus_col, "__block", "__part"]

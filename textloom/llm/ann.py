@@ -3,12 +3,14 @@
 Largest inner product becomes least distance by one more coordinate: candidates x are extended by sqrt(M^2 - |x|^2),
 queries by 0, with M the greatest norm. Extended vectors are projected by a Gaussian matrix of DIMS columns, which is
 2-stable: the squared distance of the projections over the squared true distance is chi-square with DIMS degrees of
-freedom. Candidates are dealt into shards, each of which is a kd-tree over its projections. A query takes a shard's
-leaves in the order of their distance in the projection and verifies their vectors by the true inner product, until a
-point as near as its present K-th one would, with probability SURE, already have come up.
+freedom. The upper levels of one kd-tree over the projections deal candidates into cells; a cell's vectors lie in shards
+of about SHARD, each with its own lower levels. A query takes leaves in the order of their distance in the projection and
+verifies their vectors by the true inner product, until a point as near as its present K-th one would, with probability
+SURE, already have come up. First it searches its nearest cell only; its K-th score there then tells, by the same test,
+which other cells it has to visit, so that a query is sent to those alone.
 
-Every vector is indexed; nothing is fitted on a sample. Shards hold about SHARD vectors, so their number grows with the
-table. The queries are a stated set against all rows: each shard reads all of them, in blocks of QUERY_BLOCK.
+The upper splits are fitted on SAMPLE vectors of least hash; every vector is indexed, and the cells' boxes and counts,
+which the test uses, are computed over all of them. A cell of very many vectors, such as copies of one, gets more shards.
 """
 
 from __future__ import annotations
@@ -29,6 +31,8 @@ SURE = 0.97
 SHARD = 8192
 LEAF = 128
 QUERY_BLOCK = 4096
+SAMPLE = 20_000
+CELLS = 1024  # at most; beyond, cells get more shards
 SEED = 5
 
 
@@ -52,16 +56,67 @@ def chi_square_quantile(p: float, dims: int) -> float:
     return hi
 
 
+def projection(size: int, dims: int = DIMS) -> np.ndarray:
+    """The Gaussian matrix of extended vectors: the same in every worker."""
+    return np.random.default_rng(SEED).standard_normal((size + 1, dims))
+
+
+def projected(vectors: np.ndarray, norm: float, dims: int = DIMS) -> np.ndarray:
+    """Projections of candidates, extended to length norm."""
+    m = projection(vectors.shape[1], dims)
+    rest = np.sqrt(np.maximum(0.0, norm * norm - np.einsum("ij,ij->i", vectors, vectors)))
+    return vectors @ m[:-1] + rest[:, None] * m[-1]
+
+
+def box_distance(at: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Squared distance from each point to each box."""
+    out = np.zeros((len(at), len(low)))
+    for j in range(at.shape[1]):
+        out += np.maximum(0.0, np.maximum(low[:, j] - at[:, j : j + 1], at[:, j : j + 1] - high[:, j])) ** 2
+    return out
+
+
+class Cells:
+    """The upper levels of the kd-tree: median splits of a sample, as (axis, value, left, right); leaves are numbers."""
+
+    def __init__(self, points: np.ndarray, cells: int):
+        self.n, self.root = 0, None
+        self.root = self._split(points, cells)
+
+    def _split(self, points: np.ndarray, cells: int):
+        if cells <= 1 or len(points) < 2 or np.ptp(points, axis=0).max() == 0:
+            self.n += 1
+            return self.n - 1
+        axis = int(np.ptp(points, axis=0).argmax())
+        value = float(np.median(points[:, axis]))
+        left = points[:, axis] <= value
+        if left.all():
+            left = points[:, axis] < value
+            value = float(points[left, axis].max())
+        return axis, value, self._split(points[left], cells - cells // 2), self._split(points[~left], cells // 2)
+
+    def of(self, points: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(points), np.int32)
+        todo = [(self.root, np.arange(len(points)))]
+        while todo:
+            node, rows = todo.pop()
+            if isinstance(node, int):
+                out[rows] = node
+            else:
+                left = points[rows, node[0]] <= node[1]
+                todo += [(node[2], rows[left]), (node[3], rows[~left])]
+        return out
+
+
 class ShardTree:
     """A kd-tree over the projections of a shard's vectors; leaves of about LEAF points with their boxes."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, norm: float, dims: int = DIMS):
         order = np.argsort(ids, kind="stable")
         ids, vectors = ids[order], vectors[order]
-        self.matrix = np.random.default_rng(SEED).standard_normal((vectors.shape[1] + 1, dims))
+        self.matrix = projection(vectors.shape[1], dims)
         self.norm2 = norm * norm
-        rest = np.sqrt(np.maximum(0.0, self.norm2 - np.einsum("ij,ij->i", vectors, vectors)))
-        points = vectors @ self.matrix[:-1] + rest[:, None] * self.matrix[-1]
+        points = projected(vectors, norm, dims)
         leaves: list[np.ndarray] = []
         todo = [np.arange(len(ids))]
         while todo:
@@ -77,13 +132,12 @@ class ShardTree:
         self.low = np.array([points[r].min(axis=0) for r in leaves])
         self.high = np.array([points[r].max(axis=0) for r in leaves])
 
-    def search(self, ids: np.ndarray, queries: np.ndarray, k: int, sure: float) -> tuple[np.ndarray, np.ndarray]:
-        """(rows of the shard, scores) of shape (queries, k), best first, ties to the smaller id; missing ones have row -1."""
+    def search(self, ids: np.ndarray, queries: np.ndarray, k: int, sure: float, floor: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(rows of the shard, scores) of shape (queries, k), best first, ties to the smaller id; missing ones have row -1.
+        floor: each query's K-th score so far."""
         n = len(ids)
         at = queries @ self.matrix[:-1]
-        near = np.zeros((n, len(self.leaves)))
-        for j in range(at.shape[1]):  # squared distance from each query to each leaf's box
-            near += np.maximum(0.0, np.maximum(self.low[:, j] - at[:, j : j + 1], at[:, j : j + 1] - self.high[:, j])) ** 2
+        near = box_distance(at, self.low, self.high)
         order = np.argsort(near, axis=1, kind="stable")
         best = np.full((n, k), -np.inf)
         who = np.full((n, k), -1, np.int64)
@@ -93,7 +147,8 @@ class ShardTree:
         for step in range(len(self.leaves)):
             leaf = order[live, step]
             # true squared distance of the K-th so far; a nearer point would project within stop times that, if SURE holds
-            kth = length2[live] + self.norm2 - 2 * best[live, -1]
+            known = best[live, -1] if floor is None else np.maximum(best[live, -1], floor[live])
+            kth = length2[live] + self.norm2 - 2 * known
             go = near[live, leaf] <= stop * np.maximum(kth, 0.0)
             live, leaf = live[go], leaf[go]
             if not len(live):
@@ -138,50 +193,101 @@ def nearest(base: DataFrame, queries: DataFrame, k: int = K, sure: float = SURE,
     if not sizes:
         return spark.createDataFrame([], schema)
     dims, n, norm = sizes[0].d, sizes[0].n, math.sqrt(sizes[0].m)
-    shards = max(1, round(n / SHARD))
-    queries = vectors_of(queries, id_col, vec_col).where(F.size("v") == dims)
-    # each shard's rows: its candidates, then a copy of every query
-    own = base.where(F.size("v") == dims).select(F.pmod(F.xxhash64("id", F.lit(SEED)), F.lit(shards)).cast("int").alias("shard"), F.lit(0).alias("kind"), "id", "v")
-    asked = queries.select(F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), F.lit(1).alias("kind"), "id", "v")
-    rows = own.union(asked).repartition(max(1, min(shards, 100_000)), "shard").sortWithinPartitions("shard", "kind")
+    base = base.where(F.size("v") == dims).select("id", "v")
+    queries = vectors_of(queries, id_col, vec_col).where(F.size("v") == dims).select("id", "v")
+    sample = np.array([r.v for r in base.orderBy(F.xxhash64("id", F.lit(SEED)), "id").limit(max(1000, min(SAMPLE, 2_000_000 // dims))).select("v").collect()])
+    cells = Cells(projected(sample, norm), min(CELLS, max(1, round(n / SHARD)), max(1, len(sample) // 16)))
+
+    def assign(batches):
+        for batch in batches:
+            v = batch.column(1).flatten().to_numpy().reshape(-1, dims)
+            p = projected(v, norm)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(cells.of(p)), *(pa.array(p[:, j]) for j in range(DIMS))], ["id", "v", "cell", *(f"p{j}" for j in range(DIMS))])
+
+    axes = [f"p{j}" for j in range(DIMS)]
+    base = materialise(base.mapInArrow(assign, "id long, v array<double>, cell int, " + ", ".join(f"{a} double" for a in axes)), "cells")
+    boxes = base.groupBy("cell").agg(F.count("*").alias("n"), *(f(a).alias(f"{f.__name__}_{a}") for f in (F.min, F.max) for a in axes)).orderBy("cell").collect()  # at most CELLS rows
+    number = np.array([r.cell for r in boxes])
+    low, high = (np.array([[r[f"{f}_{a}"] for a in axes] for r in boxes]) for f in ("min", "max"))
+    parts = [0] * cells.n
+    for r in boxes:
+        parts[r.cell] = -(-r.n // (2 * SHARD)) if r.n > 2 * SHARD else 1
+    stop, m = chi_square_quantile(sure, DIMS), projection(dims)
+
+    def visits(first: bool):
+        def run(batches):
+            for batch in batches:
+                q = batch.column(1).flatten().to_numpy().reshape(-1, dims)
+                near = box_distance(q @ m[:-1], low, high)
+                own = near.argmin(axis=1)
+                if first:
+                    take = [own[i : i + 1] for i in range(len(q))]
+                else:
+                    kth = np.einsum("ij,ij->i", q, q) + norm * norm - 2 * batch.column(2).to_numpy(zero_copy_only=False)
+                    go = near <= stop * np.maximum(kth, 0.0)[:, None]
+                    go[np.arange(len(q)), own] = False
+                    take = [np.nonzero(g)[0] for g in go]
+                i = np.repeat(np.arange(len(q)), [len(t) for t in take])
+                c = number[np.concatenate([*take, own[:0]])].astype(np.int32)
+                i, c = np.repeat(i, [parts[x] for x in c]), np.concatenate([np.stack([np.full(parts[x], x), np.arange(parts[x])]) for x in c] or [np.zeros((2, 0), np.int64)], axis=1)
+                yield pa.RecordBatch.from_arrays([pa.array(c[0].astype(np.int32)), pa.array(c[1].astype(np.int32)), pa.array(np.ones(len(i), np.int32)), *(batch.column(j).take(pa.array(i, pa.int64())) for j in range(3))], ["cell", "part", "kind", "id", "v", "floor"])
+
+        return run
+
+    part = F.pmod(F.xxhash64("id", F.lit(SEED)), F.element_at(F.array(*map(F.lit, parts)), F.col("cell") + 1)).cast("int")
+    held = base.select("cell", part.alias("part"), F.lit(0).alias("kind"), "id", "v", F.lit(None).cast("double").alias("floor"))
 
     def run(batches):
-        def matrix(parts):
-            return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+        def matrix(rows):
+            return (np.concatenate([r[k] for r in rows]) for k in range(3))
 
-        def answer(tree, parts):
-            ids, q = matrix(parts)
-            who, _ = tree.search(ids, q, k, sure)
+        def grown(rows):
+            ids, v, _ = matrix(rows)
+            return ShardTree(ids, v, norm)
+
+        def answer(tree, rows):
+            ids, q, floor = matrix(rows)
+            who, _ = tree.search(ids, q, k, sure, floor)
             keep, score = who >= 0, tree.exact(q, who)
             return pa.RecordBatch.from_arrays([pa.array(np.broadcast_to(ids[:, None], who.shape)[keep]), pa.array(tree.ids[who[keep]]), pa.array(score[keep])], ["query_id", "vec_id", "score"])
 
-        last, tree, held, asked = None, None, [], []
+        last, tree, own, asked = None, None, [], []
         for batch in batches:
-            shard, kind, ids = (batch.column(c).to_numpy() for c in range(3))
-            v = batch.column(3).flatten().to_numpy().reshape(-1, dims)
-            cut = np.nonzero((np.diff(shard) != 0) | (np.diff(kind) != 0))[0] + 1
+            cell, number, kind, ids = (batch.column(c).to_numpy() for c in range(4))
+            v = batch.column(4).flatten().to_numpy().reshape(-1, dims)
+            floor = np.nan_to_num(batch.column(5).to_numpy(zero_copy_only=False).astype(np.float64), nan=-np.inf, neginf=-np.inf)
+            cut = np.nonzero((np.diff(cell) != 0) | (np.diff(number) != 0) | (np.diff(kind) != 0))[0] + 1
             for a, b in zip([0, *cut], [*cut, len(ids)], strict=True):
                 if a == b:
                     continue
-                if shard[a] != last:
-                    if asked and held:
-                        yield answer(tree or ShardTree(*matrix(held), norm), asked)
-                    last, tree, held, asked = shard[a], None, [], []
+                if (cell[a], number[a]) != last:
+                    if asked and own:
+                        yield answer(tree or grown(own), asked)
+                    last, tree, own, asked = (cell[a], number[a]), None, [], []
+                rows = (ids[a:b], v[a:b], floor[a:b])
                 if kind[a] == 0:
-                    held.append((ids[a:b], v[a:b]))
-                elif held:
-                    tree = tree or ShardTree(*matrix(held), norm)
-                    asked.append((ids[a:b], v[a:b]))
+                    own.append(rows)
+                elif own:
+                    tree = tree or grown(own)
+                    asked.append(rows)
                     if sum(len(x[0]) for x in asked) >= QUERY_BLOCK:
                         yield answer(tree, asked)
                         asked = []
-        if asked and held:
+        if asked and own:
             yield answer(tree, asked)
 
-    found = rows.mapInArrow(run, "query_id long, vec_id long, score double")
-    # best k of each query over the shards: at most k rows come from each shard
-    w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    def found(asked: DataFrame, first: bool) -> DataFrame:
+        sent = asked.mapInArrow(visits(first), "cell int, part int, kind int, id long, v array<double>, floor double")
+        rows = held.union(sent).repartition(max(1, min(sum(parts), 100_000)), "cell", "part").sortWithinPartitions("cell", "part", "kind")
+        return rows.mapInArrow(run, "query_id long, vec_id long, score double")
+
+    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")  # at most k rows come from each shard
+    near = found(queries.withColumn("floor", F.lit(None).cast("double")), True)
+    near = materialise(near.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k), "nearest")
+    floors = near.where(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("score").alias("floor"))
+    asked = queries.join(floors, "id", "left").select("id", "v", F.coalesce("floor", F.lit(float("-inf"))).alias("floor"))
+    out = near.select("query_id", "vec_id", "score").union(found(asked, False))
+    return out.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
 def op10_ann(spark, sf_dir: str) -> DataFrame:

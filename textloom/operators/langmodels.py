@@ -7,6 +7,7 @@ missing, predictions are null. NaiveBayes is a model trained here, as a stand-in
 
 from __future__ import annotations
 
+import importlib.util
 import os
 from collections import Counter
 from collections.abc import Callable
@@ -33,12 +34,11 @@ def fasttext_model(path: str, k: int = 3) -> Model:
         import pandas as pd
 
         if "m" not in loaded:
-            try:
+            loaded["m"] = None
+            if importlib.util.find_spec("fasttext") and os.path.exists(path):
                 import fasttext
 
-                loaded["m"] = fasttext.load_model(path) if os.path.exists(path) else None
-            except (ImportError, ValueError):
-                loaded["m"] = None
+                loaded["m"] = fasttext.load_model(path)
         m = loaded["m"]
         rows = [(None, None) if m is None or t is None else tuple(map(list, m.predict(t.replace("\n", " "), k=k))) for t in texts]
         return pd.DataFrame(rows, columns=["labels", "confidences"])

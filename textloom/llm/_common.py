@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -18,8 +20,17 @@ BROADCAST_IDS = 2_000_000
 BATCH_BYTES = "4m"
 
 
+def reach_workers(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it; on a cluster without that path, --py-files does."""
+    root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
 def bounded_batches(spark: SparkSession) -> None:
     """Bound the session's Arrow batches by bytes, unless they are bounded lower already."""
+    reach_workers(spark)
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
     if spark.conf.get(key, None) in (None, "67108864", "67108864b", "64m", "64MB"):
         spark.conf.set(key, BATCH_BYTES)

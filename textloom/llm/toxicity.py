@@ -2,7 +2,8 @@
 
 A token's score is the log-odds of its features (the word and its beginnings of PREFIXES letters) between toxic and
 other labelled texts, smoothed by a Dirichlet prior that is shaped by the feature's own overall rate. Of M candidate features
-those whose log-likelihood ratio G2 is under 2 ln M + 2 (less than one by chance) say nothing; all tokens without a telling feature share the one, slightly
+those whose log-likelihood ratio G2 is under 2 ln M + 2 (less than one by chance) or whose log-odds are under MIN_ODDS
+say nothing; all tokens without a telling feature share the one, slightly
 negative, score of the rest. The linear-time scan of Ruzzo and Tompa finds all maximal scoring segments; a segment of
 score S among n tokens has the extreme-value significance exp(-(S - ln n)), as scores are log-likelihood ratios
 (lambda = 1). A text's evidence S - ln n of its best segment is turned into a probability by a logistic curve.
@@ -27,6 +28,8 @@ TRAIN_ROWS = 8_000
 FEATURES = 50_000
 PREFIXES = (4, 5, 6)
 PRIOR = 1.0
+MIN_ODDS = 2.5  # least log-odds of a telling feature
+SATURATED = 25.0  # evidence beyond which a text isn't surer to be toxic
 REST = -0.05
 SIGNIFICANT = 2.0
 WORD = re.compile(r"[^\W\d_]+")
@@ -110,7 +113,7 @@ class Model:
         found, n = self.segments(text)
         level = math.log(n + 1)
         values = [s - level for *_, s in found]
-        return max(values, default=-level), sum(v >= SIGNIFICANT for v in values)
+        return min(SATURATED, max(values, default=-level)), sum(v >= SIGNIFICANT for v in values)
 
     def probability(self, evidence: float) -> float:
         return 1 / (1 + math.exp(-max(-500.0, min(500.0, self.slope * evidence + self.offset))))
@@ -143,13 +146,13 @@ def logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, use: Column, per_class: int = TRAIN_ROWS) -> DataFrame:
-    """(text, y) of at most per_class labelled rows of each class with use true, by least hash of the id."""
+    """Distinct (text, y) of at most per_class labelled rows of each class with use true, by least hash of the id."""
     labels = labels.where(F.col("toxic").isin(0, 1) & use).groupBy("doc_id").agg(F.max("toxic").alias("y"))
     picked = None
     for y in (0, 1):
         part = labels.where(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
         picked = part if picked is None else picked.union(part)
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(picked), "doc_id").select("text", "y")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(picked), "doc_id").select("text", "y").dropDuplicates()
 
 
 def fit(docs: DataFrame, labels: DataFrame, use: Column) -> Model:
@@ -186,9 +189,11 @@ def fit(docs: DataFrame, labels: DataFrame, use: Column) -> Model:
             if g2 >= least:
                 prior = PRIOR * c / (n1 + n0)
                 p1, p0 = (r.pos + n1 * prior / (n1 + n0) + 0.1) / (n1 + 1), (r.neg + n0 * prior / (n1 + n0) + 0.1) / (n0 + 1)
-                scores[r.f] = (math.log(p1 / (1 - min(p1, 0.999))) - math.log(p0 / (1 - min(p0, 0.999))), g2)
+                odds = math.log(p1 / (1 - min(p1, 0.999))) - math.log(p0 / (1 - min(p0, 0.999)))
+                if odds >= MIN_ODDS:
+                    scores[r.f] = (odds, g2)
     best = sorted(scores, key=lambda f: (-scores[f][1], f))[:FEATURES]
-    model = Model({f: scores[f][0] for f in best if scores[f][0] > 0})
+    model = Model({f: scores[f][0] for f in best})
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     def evidence(batches):

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from textloom.llm._common import load, materialise
+from textloom.llm._common import discard, load, materialise
 from textloom.llm.pipeline_stages import STAGES
 
 #: The toxicity model and the banded alignment can't be expressed in SQL; tests/llm holds run() against brute force.
@@ -18,5 +18,7 @@ ORACLE_SQL = None
 def run(spark, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = materialise(stage(spark, docs, sf_dir), f"stage-{name}")
+        out = materialise(stage(spark, docs, sf_dir), f"stage-{name}")
+        discard(docs)  # what the stage before wrote; the input tables stay
+        docs = out
     return docs

@@ -33,7 +33,7 @@ SATURATED = 25.0  # evidence beyond which a text isn't surer to be toxic
 REST = -0.05
 SIGNIFICANT = 2.0
 WORD = re.compile(r"[^\W\d_]+")
-CACHE = 400_000
+CACHE = 150_000
 
 
 def held_out(id_col: Column, fold: int, remainder: int) -> Column:

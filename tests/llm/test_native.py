@@ -67,6 +67,17 @@ def test_recurring_lines_go_and_copies_stay(spark):
             assert got[i].text == t and got[i]["__dropped"] == 0
 
 
+def test_copies_and_repeats_protect_no_line(spark):
+    rng = random.Random(8)
+    notice = "this notice stands in all of them"
+    rows = [f"{doc(rng)}\n{notice}" for _ in range(5)]
+    rows += [rows[0]] * 60 + ["\n".join([doc(rng), *[notice] * 60])]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    got = {r.doc_id: r for r in line_dedup.drop_recurring_lines(df).collect()}
+    for i, t in enumerate(rows):
+        assert got[i].text == t.replace(f"\n{notice}", "") and got[i]["__dropped"] == t.count(notice)
+
+
 def test_line_edge_cases(edge_docs, no_docs):
     out = line_dedup.drop_recurring_lines(edge_docs)
     assert out.count() == edge_docs.count() and line_dedup.drop_recurring_lines(no_docs).count() == 0

@@ -4,10 +4,11 @@ A line's tokens that hold a digit are variable fields and become <*>. The tree h
 leading tokens, then the template. A line of LONG or more tokens is entered under its own template and under the four in
 which one quarter of its later tokens is a wildcard, so lines that differ in fields without digits meet as well.
 
-A template recurs if it stands in at least MIN_CONTEXTS documents that differ elsewhere: a line's context is the
-smallest md5 of the words of LETTERS or more letters in the document's other lines. Exact and near copies of one
-document share contexts, so that copies alone never make a line recur (they belong to document de-duplication); for the
-same reason the contexts have to be MIN_SHARE of the template's uses. Recurring lines are dropped wherever they stand.
+A template recurs if it stands in MIN_CONTEXTS documents that pairwise differ elsewhere. A line's context is the SKETCH
+least hashes of the document's words of LETTERS or more letters that the line doesn't hold; two contexts are near if they
+share half of the larger one. Copies and near copies of one document are near each other, so that they alone never make a
+line recur (they belong to document de-duplication); as differing documents are counted and no share is taken, copies and
+repeats don't protect a line either. Recurring lines are dropped wherever they stand.
 """
 
 from __future__ import annotations
@@ -21,7 +22,8 @@ MIN_TOKENS = 3
 LONG = 8
 LETTERS = 6
 MIN_CONTEXTS = 3
-MIN_SHARE = 0.3
+SKETCH = 16
+DEALT = 1024  # parts that a template's contexts are dealt into
 FIELD = r"(?<!\S)[^\s0-9]*+[0-9]\S*"
 
 
@@ -36,7 +38,7 @@ def _hashes(t):
     n = F.size(t)
     q = F.ceil((n - 2) / F.lit(4)).cast("int")
     h = F.when(n >= LONG, F.array(*(F.xxhash64(F.slice(t, 3 + i * q, q)) for i in range(4))))
-    return F.struct(n.alias("n"), F.xxhash64(n, F.when(n < LONG, t).otherwise(F.slice(t, 1, 2))).alias("lead"), h.alias("h"), _least_word(t).alias("m"))
+    return F.struct(n.alias("n"), F.xxhash64(n, F.when(n < LONG, t).otherwise(F.slice(t, 1, 2))).alias("lead"), h.alias("h"), _least_words(t).alias("m"))
 
 
 def _keys(x):
@@ -47,27 +49,26 @@ def _keys(x):
     return F.when(x["n"] < MIN_TOKENS, none).when(x["n"] < LONG, F.array(x["lead"])).otherwise(F.array(F.xxhash64(x["lead"], *h), *wild))
 
 
-def _least_word(t):
-    return F.array_min(F.transform(F.filter(t, lambda w: F.length(w) >= LETTERS), lambda w: F.md5(w.cast("binary"))))
-
+def _least_words(t):
+    return F.slice(F.sort_array(F.array_distinct(F.transform(F.filter(t, lambda w: F.length(w) >= LETTERS), lambda w: F.hash(w)))), 1, SKETCH)
 
-def _two_least(lines):
-    """struct(m, i, m2) in one pass: the least word hash of a document's lines, its line, and the least of the other lines."""
-    start = F.struct(F.lit(None).cast("string").alias("m"), F.lit(-1).alias("i"), F.lit(None).cast("string").alias("m2"))
 
-    def step(a, x):
-        least = F.struct(x["m"].alias("m"), x["i"].alias("i"), a["m"].alias("m2"))
-        next_one = F.struct(a["m"].alias("m"), a["i"].alias("i"), x["m"].alias("m2"))
-        return F.when(x["m"].isNull(), a).when(a["m"].isNull() | (x["m"] < a["m"]), least).when(a["m2"].isNull() | (x["m"] < a["m2"]), next_one).otherwise(a)
+def _differing(contexts):
+    """Up to MIN_CONTEXTS of an array of contexts, none near another; those of least order are taken first."""
+    def step(found, x):
+        near = F.exists(found, lambda y: 2 * F.size(F.array_intersect(x, y)) >= F.greatest(F.size(x), F.size(y)))
+        return F.when((F.size(found) >= MIN_CONTEXTS) | near, found).otherwise(F.concat(found, F.array(x)))
 
-    return F.aggregate(F.transform(lines, lambda x, i: F.struct(x["m"].alias("m"), i.alias("i"))), start, step)
+    return F.aggregate(F.sort_array(contexts), F.array().cast("array<array<int>>"), step)
 
 
-def recurring(lines: DataFrame) -> DataFrame:
-    """The keys of recurring templates. Counting is in two steps with partial sums, so a hot template stays spread."""
-    uses = lines.select(F.explode("keys").alias("key"), "ctx").groupBy("key", "ctx").agg(F.count("*").alias("n"))
-    uses = uses.groupBy("key").agg(F.count("*").alias("contexts"), F.sum("n").alias("uses"))
-    return uses.where((F.col("contexts") >= MIN_CONTEXTS) & (F.col("contexts") >= MIN_SHARE * F.col("uses"))).select("key")
+def recurring(uses: DataFrame) -> DataFrame:
+    """The keys of recurring templates, of (key, words) rows. Equal contexts go first; the others are dealt by their hash
+    and each part leaves MIN_CONTEXTS at most, so a hot template stays spread."""
+    uses = uses.select("key", "words").distinct()
+    parts = uses.groupBy("key", F.pmod(F.xxhash64("words"), F.lit(DEALT)).alias("part")).agg(F.collect_list("words").alias("words"))
+    parts = parts.select("key", _differing(F.col("words")).alias("words")).groupBy("key").agg(F.collect_list("words").alias("words"))
+    return parts.where(F.size(_differing(F.flatten("words"))) >= MIN_CONTEXTS).select("key")
 
 
 def drop_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -81,15 +82,21 @@ def drop_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
     rows = rows.select("rid", "h", F.split("text", "\n", -1).alias("lines"))
     per_doc = rows.select("rid", "h", F.transform("lines", _tokens).alias("ts"))
     per_doc = per_doc.select("rid", "h", F.transform("ts", _hashes).alias("ls"))
-    per_doc = per_doc.select("rid", "h", "ls", _two_least(F.col("ls")).alias("top"))
+    # a line has SKETCH hashes at most, so those that remain without a line's own are among the 2 * SKETCH least
+    least = F.slice(F.sort_array(F.array_distinct(F.flatten(F.transform("ls", lambda x: x["m"])))), 1, 2 * SKETCH)
+    per_doc = per_doc.select("rid", "h", "ls", least.alias("least"))
     # not posexplode(): its inferred filter on the array's size would compute every hash twice; a text has a line at least
-    lines = per_doc.select("rid", "h", F.posexplode_outer("ls").alias("pos", "l"), "top").where(F.col("l.n") >= MIN_TOKENS)
-    ctx = F.xxhash64(F.when(F.col("pos") == F.col("top.i"), F.col("top.m2")).otherwise(F.col("top.m")))
-    lines = materialise(lines.select("rid", "h", "pos", _keys(F.col("l")).alias("keys"), ctx.alias("ctx")), "lines")
-
-    keys = materialise(recurring(lines), "templates")
+    lines = per_doc.select("rid", "h", F.posexplode_outer("ls").alias("pos", "l"), "least").where(F.col("l.n") >= MIN_TOKENS)
+    lines = lines.select("rid", "h", "pos", _keys(F.col("l")).alias("keys"), F.slice(F.array_except("least", "l.m"), 1, SKETCH).alias("words"))
+    lines = materialise(lines.withColumn("ctx", F.xxhash64("words")), "lines")
+
+    some = lines.select(F.explode("keys").alias("key"), "ctx").distinct().groupBy("key").agg(F.count("*").alias("n"))
+    some = materialise(some.where(F.col("n") >= MIN_CONTEXTS).select("key"), "candidates")
+    side = F.broadcast(some) if some.count() <= BROADCAST_IDS else some
+    uses = materialise(lines.select("rid", "h", "pos", "words", F.explode("keys").alias("key")).join(side, "key", "left_semi"), "uses")
+    keys = materialise(recurring(uses), "templates")
     side = F.broadcast(keys) if keys.count() <= BROADCAST_IDS else keys
-    hit = lines.select("rid", "h", "pos", F.explode("keys").alias("key")).join(side, "key", "left_semi")
+    hit = uses.select("rid", "h", "pos", "key").join(side, "key", "left_semi")
     drop = materialise(hit.groupBy("rid", "h").agg(F.collect_set("pos").alias("__drop")), "drops")
     size = drop.agg(F.count("*") + F.sum(F.size("__drop"))).first()[0] or 0
     drop = drop.withColumnsRenamed({"rid": "__rid", "h": "__h"})
@@ -104,6 +111,8 @@ def op4_line_dedup(spark, sf_dir: str) -> DataFrame:
     return drop_recurring_lines(docs).withColumnRenamed("__dropped", "n_dropped")
 
 
+#: The SQL's rule is that of least words: one word is a context, and contexts have to be this share of uses. README tells where results differ.
+MIN_SHARE = 0.3
 ORACLE = rf"""
 WITH l AS (
   SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos

@@ -78,6 +78,25 @@ def test_copies_and_repeats_protect_no_line(spark):
         assert got[i].text == t.replace(f"\n{notice}", "") and got[i]["__dropped"] == t.count(notice)
 
 
+def test_lines_recur_whatever_the_vocabulary(spark):
+    rng = random.Random(9)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(8)) for _ in range(150)]
+    text = lambda n: "\n".join(" ".join(rng.choice(words) for _ in range(10)) for _ in range(n))
+    block = "\n".join(" ".join(f"block{c}{k}word".replace("0", "zero").replace("1", "one") for c in "abcde") for k in (0, 1))
+    rows = [f"{text(3)}\nthis notice stands in all of them" for _ in range(150)]  # few words are the least of a text
+    rows += [f"{text(4)}\n{block}" for _ in range(4)]
+    base = text(20).split(" ")
+    for _ in range(150):  # near copies: 4 % of the words are new
+        own = list(base)
+        for k in rng.sample([k for k in range(len(own)) if "\n" not in own[k]], 7):
+            own[k] = "".join(rng.choice("klmnopqrst") for _ in range(8))
+        rows.append(" ".join(own))
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    got = {r.doc_id: r.text for r in line_dedup.drop_recurring_lines(df).collect()}
+    for i, t in enumerate(rows):
+        assert got[i] == ("\n".join(t.split("\n")[:3]) if i < 150 else "\n".join(t.split("\n")[:4]) if i < 154 else t), i
+
+
 def test_line_edge_cases(edge_docs, no_docs):
     out = line_dedup.drop_recurring_lines(edge_docs)
     assert out.count() == edge_docs.count() and line_dedup.drop_recurring_lines(no_docs).count() == 0

@@ -2,12 +2,14 @@
 
 import json
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from textloom.functions import langid as L
 from textloom.operators import dedup, langmodels, metrics, tokeval, urls, wordfreq
+from textloom.plans import registry
 from textloom.sources import jsonl, sinks
 from textloom.streaming import incremental
 
@@ -126,6 +128,20 @@ def test_tokenizer_evaluation(spark):
     assert (s.type, s.total_words, s.total_tokens, s.fertility_score) == ("gn", 2, 4, 2.0)
 
 
+def test_continued_words_of_whole_texts(spark, tmp_path):
+    rng = random.Random(4)
+    texts = [None, "", " ", "ab", *(rng.choice(["", " "]) + " ".join("".join(rng.choice("theringquanó.") for _ in range(rng.randrange(1, 9))) for _ in range(n)) for n in (1, 29, 31, 60, 3000))]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r.n_continued for r in registry.queries()["continued_words_whole"](spark, str(tmp_path)).collect()}
+    for i, text in enumerate(texts):
+        n, new = 0, True
+        for word in [] if text is None else re.split(r"\s+", text, flags=re.A):
+            for t in re.findall(" ?(?:tion|ing|the|an|ch|en|er|es|ou|qu|é|ó|.)", f" {word}", re.S):
+                new = not (new and not t.startswith(" "))
+                n += not new
+        assert got[i] == (None if text is None else n), i
+
+
 def test_sources_and_sinks(spark, tmp_path):
     raw = tmp_path / "raw"
     raw.mkdir()

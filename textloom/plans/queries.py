@@ -421,3 +421,12 @@ def continued_words(spark, sf_dir):
     words = tokeval.preview(F.split("text", r"\s+"), 30)
     tokens = F.flatten(F.transform(words, lambda w: F.regexp_extract_all(F.concat(F.lit(" "), w), F.lit(" ?(?:" + _GREEDY[1:-1] + ")"), F.lit(0))))
     return table(spark, sf_dir, "documents").select("doc_id", tokeval.continued_words(tokens).alias("n_continued"))
+
+
+@query("continued_words_whole", f"""WITH t AS (SELECT doc_id, flatten(list_transform(regexp_split_to_array(text, '\\s+'), lambda w: regexp_extract_all(' ' || w, ' ?(?:' || {_GREEDY} || ')'))) AS tk FROM documents),
+r AS (SELECT doc_id, array_to_string(list_transform(tk, lambda t: CASE WHEN t <> '' AND NOT starts_with(t, ' ') THEN 'c' ELSE 'x' END), '') AS goes_on FROM t)
+SELECT doc_id, CAST(len(regexp_extract_all(goes_on, 'cc?')) AS INTEGER) AS n_continued FROM r""")
+def continued_words_whole(spark, sf_dir):
+    """The same over all words of each document. In the SQL, every other one of a run of continuing tokens counts."""
+    tokens = F.flatten(F.transform(F.split("text", r"\s+"), lambda w: F.regexp_extract_all(F.concat(F.lit(" "), w), F.lit(" ?(?:" + _GREEDY[1:-1] + ")"), F.lit(0))))
+    return table(spark, sf_dir, "documents").select("doc_id", tokeval.continued_words(tokens).alias("n_continued"))

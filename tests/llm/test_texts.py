@@ -37,6 +37,13 @@ def test_html_fixtures(case):
     assert html_extract.extract(CASES[case][0]) == CASES[case][1]
 
 
+@pytest.mark.parametrize("card", ["<article><h2>Teaser</h2><p>Read it now</p></article>", f"<main><p>{LONG}</p></main>"])
+def test_story_outside_an_article_stays(card):
+    got = html_extract.extract(page(f"<div><h1>Head</h1><p>{LONG}</p><p>Short.</p><p>{LONG}</p></div>{card}")).split("\n")
+    assert got[:4] == ["Head", LONG, "Short.", LONG]
+    assert html_extract.extract(page(f"<p>Date</p><article><p>{LONG}</p></article><div>Print</div><ul><li><a href=1>Link</a></li></ul>")) == LONG
+
+
 def test_html_on_whole_pages(spark, no_docs):
     pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
     got = {r.page_id: r for r in html_extract.extract_html(pages).collect()}

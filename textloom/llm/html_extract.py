@@ -3,7 +3,8 @@
 The markup is cut at block-level tags into blocks. A block in a region that its element names as furniture (menus,
 headers, footers, sidebars, notices, adverts, forms, comments, hidden parts) is no candidate. The first pass decides
 the other blocks by link density, length and stop-word density; in the second, ambiguous blocks inherit the label of
-their nearest decided neighbours. Blocks inside article or main elements start from the belief that they are text.
+their nearest decided neighbours. Blocks inside article or main elements start from the belief that they are text, and
+ambiguous blocks outside, on a page that has such elements, from the belief that they aren't; decided blocks stay decided.
 """
 
 from __future__ import annotations
@@ -170,8 +171,6 @@ def classify(found: list[Block]) -> list[str]:
         s = " ".join("".join(b.parts).split())
         if s and not b.bad:
             rows.append((b, s))
-    if any(b.trusted for b, _ in rows):
-        rows = [r for r in rows if r[0].trusted]
     labels: list[bool | None] = []
     for b, s in rows:
         words = WORD.findall(s.lower())
@@ -184,25 +183,31 @@ def classify(found: list[Block]) -> list[str]:
             labels.append(True)
         else:
             labels.append(None)
-    left: list[bool | None] = []
-    near: bool | None = None
-    for x in labels:
-        near = x if x is not None else near
-        left.append(near)
-    out, near = [], None
-    for k in range(len(rows) - 1, -1, -1):
-        b, s = rows[k]
-        near = labels[k] if labels[k] is not None else near
-        good = labels[k]
+    some = any(b.trusted for b, _ in rows)
+    left = _nearest(rows, labels)
+    right = _nearest(rows[::-1], labels[::-1])[::-1]
+    out = []
+    for (b, s), good, *both in zip(rows, labels, left, right, strict=True):
         if good is None:
+            sides = [x for x in both if x is not None]
             if b.trusted:
-                good = not (left[k] is False and near is False)
+                good = sides != [False, False]
             else:
-                sides = [x for x in (left[k], near) if x is not None]
-                good = any(sides) if sides else True  # nothing on the page is known to be furniture
+                good = any(sides) if sides else not some  # without any: nothing on the page is known to be furniture
         if good:
             out.append(s)
-    return out[::-1]
+    return out
+
+
+def _nearest(rows: list[tuple[Block, str]], labels: list[bool | None]) -> list[bool | None]:
+    """The last label decided up to each block, inside and outside of article and main elements each by themselves."""
+    near: dict[bool, bool | None] = {True: None, False: None}
+    found = []
+    for (b, _), x in zip(rows, labels, strict=True):
+        if x is not None:
+            near[b.trusted] = x
+        found.append(near[b.trusted])
+    return found
 
 
 def extract(page: str | None) -> str:

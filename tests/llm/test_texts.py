@@ -44,6 +44,17 @@ def test_story_outside_an_article_stays(card):
     assert html_extract.extract(page(f"<p>Date</p><article><p>{LONG}</p></article><div>Print</div><ul><li><a href=1>Link</a></li></ul>")) == LONG
 
 
+@pytest.mark.parametrize("name", ['class="layout has-sidebar"', 'id="content-with-comments"', 'class="no-banner"', "class=widget", 'class="social"'])
+def test_names_hide_no_story(name):
+    assert html_extract.extract(page(f"<div {name}><article><h1>Head</h1><p>{LONG}</p></article></div><div>{LONG}</div>")) == f"Head\n{LONG}\n{LONG}"
+    assert html_extract.extract(page(f"<div {name}><p>{LONG}</p><p>Short.</p></div>")) == f"{LONG}\nShort."
+
+
+@pytest.mark.parametrize("name", ["site-header", "main-nav", "nav-wrapper", "left-sidebar", "cookieNotice", "wide ad", "ad-300x250", "comments"])
+def test_names_hide_furniture(name):
+    assert html_extract.extract(page(f"<div class='{name}'><p>{LONG}</p></div><p>{LONG}</p>")) == LONG
+
+
 def test_html_on_whole_pages(spark, no_docs):
     pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
     got = {r.page_id: r for r in html_extract.extract_html(pages).collect()}

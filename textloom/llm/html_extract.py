@@ -1,7 +1,9 @@
 """Operator 1: main text of HTML pages by two-pass block rules.
 
 The markup is cut at block-level tags into blocks. A block in a region that its element names as furniture (menus,
-headers, footers, sidebars, notices, adverts, forms, comments, hidden parts) is no candidate. The first pass decides
+headers, footers, sidebars, notices, adverts, forms, comments, hidden parts) is no candidate. A class or id names furniture
+by a whole token (site-header, nav-wrapper, but not has-sidebar); it doesn't hide an article or main below, and where it
+leaves neither an article or main nor a block that the first pass calls text, the blocks it hid are candidates. The first pass decides
 the other blocks by link density, length and stop-word density; in the second, ambiguous blocks inherit the label of
 their nearest decided neighbours. Blocks inside article or main elements start from the belief that they are text, and
 ambiguous blocks outside, on a page that has such elements, from the belief that they aren't; decided blocks stay decided.
@@ -51,49 +53,64 @@ BAD_NAMES = frozenset(
     overlay pager pagination paywall popup promo promoted promotion reader replies reply respond related search share sharing
     sidebar signup skip social sponsor sponsored subscribe subscription tags toolbar tracking widget""".split()
 )
+# Words before or after the name of a part that leave its role, and words that make a token tell of something else.
+BOXES = frozenset("area banner bar block bottom box container group inner item items left links list main outer panel right row section slot top unit wrap wrapper zone".split())
+OTHERS = frozenset("above after article before below body content entry has hide is layout no non not page post show story under with without".split())
 NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^"'>]|"[^"]*"|'[^']*')*+)>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)>""", re.S)
 ATTR = re.compile(r"""([a-zA-Z_:][-\w:.]*)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 WORD = re.compile(r"[^\W\d_]+")
 
 
+NAMED, SURE = 1, 2
+
+
 class Block:
     __slots__ = ("parts", "links", "trusted", "bad", "heading")
 
-    def __init__(self, trusted: bool, bad: bool, heading: bool):
+    def __init__(self, trusted: bool, bad: int, heading: bool):
         self.parts: list[str] = []
         self.links = 0
         self.trusted, self.bad, self.heading = trusted, bad, heading
 
 
-def _furniture(tag: str, attrs: str, trusted: bool) -> bool:
-    if tag in FURNITURE or (tag == "header" and not trusted):
-        return True
-    if not attrs.strip():
+def _names_furniture(token: str, allowed: set[str]) -> bool:
+    """Whether a class or id token is the name of a furniture element, boxes around it included."""
+    parts = [x.lower() for x in NAME.findall(token) if len(x) > 1]
+    if any(x in OTHERS for x in parts):
         return False
-    for m in ATTR.finditer(attrs):
+    while len(parts) > 1 and parts[-1] in BOXES and parts[-1] not in BAD_NAMES:
+        parts.pop()
+    return bool(parts) and parts[-1] in BAD_NAMES - allowed
+
+
+def _furniture(tag: str, attrs: str, trusted: bool) -> int:
+    """0 for no furniture, NAMED for an element that only its class or id names so, SURE for others."""
+    if tag in FURNITURE or (tag == "header" and not trusted):
+        return SURE
+    named = 0
+    for m in ATTR.finditer(attrs) if attrs.strip() else ():
         key, value = m[1].lower(), m[2] or m[3] or m[4] or ""
         if key == "hidden" or (key == "aria-hidden" and value.lower() == "true"):
-            return True
+            return SURE
         if key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-            return True
+            return SURE
         if key == "role" and value.lower() in ROLES:
-            return True
+            return SURE
         if key in ("class", "id") and tag not in ("html", "body"):
-            names = {x.lower() for x in NAME.findall(value)} & BAD_NAMES
-            if names - ({"header", "tags"} if trusted else set()):
-                return True
-    return False
+            if any(_names_furniture(x, {"header", "tags"} if trusted else set()) for x in value.split()):
+                named = NAMED
+    return named
 
 
 def blocks(page: str) -> list[Block]:
     """The page's blocks with text, in order."""
     found: list[Block] = []
-    stack: list[tuple[str, bool, bool]] = []  # tag, trusted and bad from here on
-    trusted = bad = False
+    stack: list[tuple[str, bool, int]] = []  # tag, trusted and bad from here on
+    trusted, bad = False, 0
     link = 0
     heading = False
-    now = Block(False, False, False)
+    now = Block(False, 0, False)
 
     def text(s: str) -> None:
         if s:
@@ -151,10 +168,10 @@ def blocks(page: str) -> list[Block]:
                     stack.pop()  # its end tag was left out
                 if tag in BLOCKS and tag != "p" and stack and stack[-1][0] == "p":
                     stack.pop()
-                below = stack[-1] if stack else ("", False, False)
-                inner = below[1] or (tag in ("article", "main") and not below[2])
-                stack.append((tag, inner, below[2] or _furniture(tag, attrs, below[1])))
-            trusted, bad = stack[-1][1:] if stack else (False, False)
+                below = stack[-1] if stack else ("", False, 0)
+                own, root = _furniture(tag, attrs, below[1]), tag in ("article", "main") and below[2] != SURE
+                stack.append((tag, below[1] or (root and not own), own if root else max(below[2], own)))
+            trusted, bad = stack[-1][1:] if stack else (False, 0)
         if tag in BLOCKS:
             heading = tag[0] == "h" and tag[1:].isdigit() and not closing
             cut()
@@ -164,25 +181,26 @@ def blocks(page: str) -> list[Block]:
     return found
 
 
+def _first_pass(b: Block, s: str) -> bool | None:
+    words = WORD.findall(s.lower())
+    stops = sum(w in STOPS for w in words) / len(words) if words else 0.0
+    if b.links > MANY_LINKS * len(s):
+        return False
+    if len(s) < SHORT or b.heading:
+        return None
+    return True if stops >= (SOME_STOPS if b.links else MANY_STOPS) or (stops >= SOME_STOPS and len(s) >= 2 * SHORT) else None
+
+
 def classify(found: list[Block]) -> list[str]:
     """The texts of the blocks that are main text, in page order."""
-    rows = []
-    for b in found:
-        s = " ".join("".join(b.parts).split())
-        if s and not b.bad:
-            rows.append((b, s))
-    labels: list[bool | None] = []
-    for b, s in rows:
-        words = WORD.findall(s.lower())
-        stops = sum(w in STOPS for w in words) / len(words) if words else 0.0
-        if b.links > MANY_LINKS * len(s):
-            labels.append(False)
-        elif len(s) < SHORT or b.heading:
-            labels.append(None)
-        elif stops >= (SOME_STOPS if b.links else MANY_STOPS) or (stops >= SOME_STOPS and len(s) >= 2 * SHORT):
-            labels.append(True)
-        else:
-            labels.append(None)
+    seen = [(b, " ".join("".join(b.parts).split())) for b in found if b.bad != SURE]
+    seen = [(b, s) for b, s in seen if s]
+    rows = [r for r in seen if not r[0].bad]
+    labels = [_first_pass(*r) for r in rows]
+    if True not in labels and len(rows) < len(seen) and not any(b.trusted for b, _ in rows):
+        every = [_first_pass(*r) for r in seen]
+        if True in every:  # the story itself stands under such a name
+            rows, labels = seen, every
     some = any(b.trusted for b, _ in rows)
     left = _nearest(rows, labels)
     right = _nearest(rows[::-1], labels[::-1])[::-1]

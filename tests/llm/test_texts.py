@@ -156,6 +156,21 @@ def test_leaks_equal_brute_force():
         assert [g[2] for g in got] == ([want] if want <= e else [])
 
 
+@pytest.mark.parametrize("seed", [205, 911, 1583, 1932, 1942, 2551])
+def test_leak_among_scattered_windows(seed):
+    """Letters changed every 9 to 12 bytes: few windows are in the budget, and those that pass the count are scattered."""
+    rng = random.Random(seed)
+    size = rng.choice([300, 600])
+    item = [rng.choice("abcdefghijklmnop") for _ in range(size)]
+    own, at, k = list(item), [], rng.randrange(12)
+    while k < size:
+        own[k] = "z"
+        at.append(k)
+        k += rng.randint(9, 12)
+    assert min(sum(s <= k < s + 100 for k in at) for s in range(size - 99)) <= 8
+    assert [g[:2] for g in decontaminate.Index([(5, "".join(item))]).leaks(pa.array(["y" * 60 + "".join(own) + "y" * 60]))] == [(0, 0)]
+
+
 def test_leaks_on_tables(spark, edge_docs, no_docs):
     bench = spark.createDataFrame([(1, "The quick brown fox jumps over the lazy dog, and then it sleeps under the old oak tree."), (2, None), (3, ""), (4, "tiny")], "item_id long, text string")
     hit = "x " * 50 + "the QUICK brown  fox jumps over the lazy dog, and\nthen it sleeps under an old oak tree. tiny end"

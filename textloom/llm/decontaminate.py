@@ -65,6 +65,15 @@ def limits(length: int) -> tuple[int, int]:
     return w, max(0, min(int(w * EDITS), (w - Q) // Q))
 
 
+def samples(starts: list[int]) -> list[int]:
+    """Some of the sorted starts, so that each start lies within STRIDE of one before or at it."""
+    out: list[int] = []
+    for s in starts:
+        if not out or s > out[-1] + STRIDE:
+            out.append(s)
+    return out
+
+
 class Index:
     """The q-grams of benchmark items. Items of fewer than Q bytes are no evidence of a leak and have none."""
 
@@ -185,10 +194,10 @@ class Index:
         for (d, t, _, start), edits in aligned([(d, t, k, int(full[0])) for d, t, k, _, full in todo if len(full)], 0):
             if edits == 0:
                 best[d, t] = min(best.get((d, t), (0, start)), (0, start))
-        # windows that are s apart differ by s edits at most: every STRIDE-th tells which others can be in the budget
+        # windows that are s apart differ by s edits at most: samples STRIDE bytes from the next at most tell which others can be in the budget
         todo = [x for x in todo if best.get((x[0], x[1]), (1,))[0]]
         near: dict[tuple, set] = {}
-        for (d, t, k, start), edits in aligned([(d, t, k, int(s)) for d, t, k, starts, _ in todo for s in {*starts[::STRIDE].tolist(), int(starts[-1])}], STRIDE):
+        for (d, t, k, start), edits in aligned([(d, t, k, int(s)) for d, t, k, starts, _ in todo for s in samples(starts.tolist())], STRIDE):
             if edits <= self.e[t] + STRIDE:
                 near.setdefault((d, t, k), set()).update(range(start - STRIDE, start + STRIDE + 1))
         rest = [(d, t, k, int(s)) for d, t, k, starts, _ in todo if (d, t, k) in near for s in starts if int(s) in near[d, t, k]]

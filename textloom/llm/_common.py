@@ -12,9 +12,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows of an id list that may be broadcast (8 bytes each, 16 MB at most). Larger lists are joined by shuffle.
-BROADCAST_IDS = 2_000_000
-
+#: Rows of an id list that may be broadcast: a hashed relation takes some tens of bytes a row, so about 10 MB at most.
+#: Larger lists are joined by shuffle.
+BROADCAST_IDS = 200_000
 
 #: Bytes of an Arrow batch sent to a Python worker (at least one row each); memory then follows the longest row.
 BATCH_BYTES = "4m"

@@ -37,12 +37,15 @@ def bounded_batches(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: the cluster's spark.checkpoint.dir, or a fresh local one if unset."""
+    """The folder that driver and executors share: the cluster's spark.checkpoint.dir. If it is unset, a fresh local one
+    under a local master, as in tests, and an error on a cluster, whose executors couldn't see it."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         found = spark.sparkContext._jsc.sc().getCheckpointDir()
         if found.isDefined():
             return found.get()
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="textloom-")
         spark.sparkContext.setCheckpointDir(path)
         return shared_dir(spark)
@@ -76,6 +79,14 @@ def semi_by_id(df: DataFrame, ids: DataFrame, key: str, n_ids: int | None = None
     return df.join(side, key, "left_semi")
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """name, or name with underscores before it, so that df has no such column in any case of letters."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm._common import BROADCAST_IDS, load, materialise
+from textloom.llm._common import BROADCAST_IDS, free_name, load, materialise
 
 MIN_TOKENS = 3
 LONG = 8
@@ -71,14 +71,17 @@ def recurring(uses: DataFrame) -> DataFrame:
     return parts.where(F.size(_differing(F.flatten("words"))) >= MIN_CONTEXTS).select("key")
 
 
-def drop_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with text_col rid of recurring lines, and a last column __dropped int, the number of lines dropped.
+def drop_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", dropped_col: str = "__dropped") -> DataFrame:
+    """docs with text_col rid of recurring lines, and a last column dropped_col int, the number of lines dropped; the name
+    gets underscores before it where docs has such a column.
 
     A null text stays null and an empty one empty, with 0 dropped; rows of equal id and text are treated alike, whatever
     their other columns, which stay as they are. A text whose every line recurs becomes empty. An empty table stays so.
     """
-    named = docs.withColumns({"__rid": F.xxhash64(F.col(id_col), F.col(text_col)), "__h": F.hash(F.col(text_col), F.col(id_col))})
-    rows = named.select(F.col("__rid").alias("rid"), F.col("__h").alias("h"), F.col(text_col).cast("string").alias("text")).where("text is not null")
+    dropped_col, rid, h = free_name(docs, dropped_col), free_name(docs, "rid"), free_name(docs, "h")
+    drop_col = free_name(docs, "drop")
+    named = docs.withColumns({rid: F.xxhash64(F.col(id_col), F.col(text_col)), h: F.hash(F.col(text_col), F.col(id_col))})
+    rows = named.select(F.col(rid).alias("rid"), F.col(h).alias("h"), F.col(text_col).cast("string").alias("text")).where("text is not null")
     rows = rows.select("rid", "h", F.split("text", "\n", -1).alias("lines"))
     per_doc = rows.select("rid", "h", F.transform("lines", _tokens).alias("ts"))
     per_doc = per_doc.select("rid", "h", F.transform("ts", _hashes).alias("ls"))
@@ -97,18 +100,18 @@ def drop_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
     keys = materialise(recurring(uses), "templates")
     side = F.broadcast(keys) if keys.count() <= BROADCAST_IDS else keys
     hit = uses.select("rid", "h", "pos", "key").join(side, "key", "left_semi")
-    drop = materialise(hit.groupBy("rid", "h").agg(F.collect_set("pos").alias("__drop")), "drops")
-    size = drop.agg(F.count("*") + F.sum(F.size("__drop"))).first()[0] or 0
-    drop = drop.withColumnsRenamed({"rid": "__rid", "h": "__h"})
-    out = named.join(F.broadcast(drop) if size <= BROADCAST_IDS else drop, ["__rid", "__h"], "left")
-    text = F.array_join(F.filter(F.split(F.col(text_col), "\n", -1), lambda x, i: ~F.array_contains(F.col("__drop"), i)), "\n")
-    out = out.withColumns({text_col: F.when(F.col("__drop").isNull(), F.col(text_col)).otherwise(text), "__dropped": F.coalesce(F.size("__drop"), F.lit(0))})
-    return out.select(*docs.columns, "__dropped")
+    drop = materialise(hit.groupBy("rid", "h").agg(F.collect_set("pos").alias("drop")), "drops")
+    size = drop.agg(F.count("*") + F.sum(F.size("drop"))).first()[0] or 0
+    drop = drop.withColumnsRenamed({"rid": rid, "h": h, "drop": drop_col})
+    out = named.join(F.broadcast(drop) if size <= BROADCAST_IDS else drop, [rid, h], "left")
+    text = F.array_join(F.filter(F.split(F.col(text_col), "\n", -1), lambda x, i: ~F.array_contains(F.col(drop_col), i)), "\n")
+    out = out.withColumns({text_col: F.when(F.col(drop_col).isNull(), F.col(text_col)).otherwise(text), dropped_col: F.coalesce(F.size(drop_col), F.lit(0))})
+    return out.select(*docs.columns, dropped_col)
 
 
 def op4_line_dedup(spark, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
-    return drop_recurring_lines(docs).withColumnRenamed("__dropped", "n_dropped")
+    return drop_recurring_lines(docs, dropped_col="n_dropped")
 
 
 #: The SQL's rule is that of least words: one word is a context, and contexts have to be this share of uses. README tells where results differ.

@@ -6,6 +6,10 @@ the document. Two such strings share at least T = w - q + 1 - q e q-grams on at
 hits are counted in bands of 2 (e + 1) diagonals that overlap by half, and a band is kept only if T hits lie within a
 window. What is kept is verified by a banded alignment of every such window. The filter loses nothing.
 
+Repetitive texts share a gram in very many places. So a window of an item that stands in it before is not indexed, texts
+with more than HITS shared grams are searched in halves that overlap by two windows, and an item that a text holds without
+edits is not searched for in the rest of that text. None of this changes a result; memory stays within some hundred MB.
+
 The index of q-grams is sent to executors for at most INDEX_BYTES of benchmark text at a time; a larger benchmark is
 dealt into blocks of that size, and each block passes over the documents.
 """
@@ -26,6 +30,7 @@ WINDOW = 100
 EDITS = 0.08
 INDEX_BYTES = 4 << 20
 PIECE = 2 << 20
+HITS = 1 << 20
 STRIDE = 8
 _B = np.uint64(0x9E3779B97F4A7C15)
 _B2, _B4 = (np.uint64(pow(0x9E3779B97F4A7C15, k, 1 << 64)) for k in (2, 4))
@@ -74,11 +79,20 @@ def samples(starts: list[int]) -> list[int]:
     return out
 
 
+def first_windows(h: np.ndarray, w: int) -> np.ndarray:
+    """Starts of an item's windows of w bytes that don't stand in the item before; h are all its grams."""
+    k = w - Q + 1  # grams of a window
+    power = np.cumprod(np.full(len(h), _B))
+    back = np.cumprod(np.full(len(h) - k + 1, np.uint64(pow(int(_B), -1, 1 << 64))))
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((h ^ (h >> np.uint64(31))) * power)])
+    return np.sort(np.unique((sums[k:] - sums[:-k]) * back, return_index=True)[1])
+
+
 class Index:
     """The q-grams of benchmark items. Items of fewer than Q bytes are no evidence of a leak and have none."""
 
     def __init__(self, items: list[tuple[int, str]]):
-        self.ids, self.text = [], []
+        self.ids, self.text, self.starts = [], [], []  # starts: of the item's windows
         hashes, owner, at = [], [], []
         for item_id, text in items:
             b = np.frombuffer((text or "").encode(), np.uint8)
@@ -86,9 +100,15 @@ class Index:
             b = b[: len(b) - 1] if len(b) and b[-1] == 32 else b
             if len(b) >= Q:
                 h = grams(b)
-                hashes.append(h)
-                owner.append(np.full(len(h), len(self.ids)))
-                at.append(np.arange(len(h)))
+                w = limits(len(b))[0]
+                self.starts.append(first_windows(h, w))
+                edge = np.zeros(len(h) + 1, np.int64)
+                edge[self.starts[-1]] += 1
+                edge[self.starts[-1] + w - Q + 1] -= 1
+                new = np.nonzero(np.cumsum(edge[:-1]))[0]
+                hashes.append(h[new])
+                owner.append(np.full(len(new), len(self.ids)))
+                at.append(new)
                 self.ids.append(item_id)
                 self.text.append(b)
         h = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
@@ -105,18 +125,24 @@ class Index:
         w, e = np.array([limits(len(t)) for t in self.text] or [(1, 0)]).T
         self.w, self.e, self.need = w, e, np.maximum(1, w - Q + 1 - Q * e)
 
-    def hits(self, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(place in b, item, place in the item) of each shared q-gram."""
+    def shared(self, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place in b, gram) of each place whose gram the index has."""
         h = grams(b)
         i = np.nonzero(self.maybe[(h >> np.uint64(42)).astype(np.int64)])[0]
         k = np.searchsorted(self.gram, h[i])
         ok = k < len(self.gram)
         i, k = i[ok], k[ok]
         ok = self.gram[k] == h[i]
-        i, k = i[ok], k[ok]
+        return i[ok], k[ok]
+
+    def hits(self, i: np.ndarray, k: np.ndarray, settled: set[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(place, item, place in the item) of each pair of equal grams, of shared(); items in settled are left out."""
         n = self.last[k] - self.first[k]
         row = np.repeat(np.arange(len(k)), n)
         entry = self.first[k][row] + np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+        if settled:
+            ok = ~np.isin(self.owner[entry], list(settled))
+            row, entry = row[ok], entry[ok]
         return i[row], self.owner[entry], self.at[entry]
 
     def align(self, item: np.ndarray, start: np.ndarray, b: np.ndarray, lo: np.ndarray, hi: np.ndarray, low: np.ndarray, limit: np.ndarray) -> np.ndarray:
@@ -148,9 +174,28 @@ class Index:
     def search(self, raw: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int, int, int]]:
         """(text, item, edits, start of the window in the item) of each leak; the window with fewest edits, then the first."""
         b, off = normal(raw, offsets)
-        if not len(self.ids) or len(b) < Q:
-            return []
-        i, item, j = self.hits(b)
+        best: dict[tuple[int, int], tuple[int, int]] = {}
+        if len(self.ids) and len(b) >= Q:
+            self._search(b, off, 0, best)
+        return [(d, t, *v) for (d, t), v in sorted(best.items())]
+
+    def _search(self, b: np.ndarray, off: np.ndarray, doc0: int, best: dict) -> None:
+        """search() of normalised texts, numbered from doc0, into best."""
+        i, k = self.shared(b)
+        n_docs = len(off) - 1
+        if len(i) and int((self.last[k] - self.first[k]).sum()) > HITS:
+            if n_docs > 1:
+                mid = n_docs // 2
+                self._search(b[: off[mid]], off[: mid + 1], doc0, best)
+                self._search(b[off[mid] :], off[mid:] - off[mid], doc0 + mid, best)
+                return
+            if len(b) > 8 * WINDOW:
+                mid = len(b) // 2
+                for part in (b[: mid + WINDOW], b[mid - WINDOW :]):
+                    self._search(part, np.array([0, len(part)]), doc0, best)
+                return
+        settled = {t for (d, t), v in best.items() if d == doc0 and not v[0]} if n_docs == 1 else set()
+        i, item, j = self.hits(i, k, settled)
         doc = np.searchsorted(off, i, "right") - 1
         ok = i + Q <= off[doc + 1]
         i, item, j, doc = i[ok], item[ok], j[ok], doc[ok]
@@ -159,7 +204,7 @@ class Index:
         ok = count[back] >= self.need[item]
         i, item, j, doc = i[ok], item[ok], j[ok], doc[ok]
         if not len(i):
-            return []
+            return
         step = self.e[item] + 1
         band = (i - off[doc] - j) // step
         doc, item, band, j = (np.concatenate(x) for x in ((doc, doc), (item, item), (band, band - 1), (j, j)))
@@ -168,13 +213,12 @@ class Index:
         new = np.ones(len(j), bool)
         new[1:] = (doc[1:] != doc[:-1]) | (item[1:] != item[:-1]) | (band[1:] != band[:-1])
         edges = np.append(np.nonzero(new)[0], len(j))
-        best: dict[tuple[int, int], tuple[int, int]] = {}
         todo = []  # (text, item, band, starts of windows with hits enough)
         for a, z in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
             t, d = int(item[a]), int(doc[a])
             need, w = int(self.need[t]), int(self.w[t])
             if z - a >= need:
-                starts = np.arange(int(self.size[t]) - w + 1)
+                starts = self.starts[t]
                 inside = np.searchsorted(j[a:z], starts + w - Q, "right") - np.searchsorted(j[a:z], starts, "left")
                 if (inside >= need).any():
                     todo.append((d, t, int(band[a]), starts[inside >= need], starts[inside >= w - Q + 1]))
@@ -193,9 +237,9 @@ class Index:
         # a window without edits has all its q-grams: the first such window settles its pair
         for (d, t, _, start), edits in aligned([(d, t, k, int(full[0])) for d, t, k, _, full in todo if len(full)], 0):
             if edits == 0:
-                best[d, t] = min(best.get((d, t), (0, start)), (0, start))
+                best[d + doc0, t] = min(best.get((d + doc0, t), (0, start)), (0, start))
         # windows that are s apart differ by s edits at most: samples STRIDE bytes from the next at most tell which others can be in the budget
-        todo = [x for x in todo if best.get((x[0], x[1]), (1,))[0]]
+        todo = [x for x in todo if best.get((x[0] + doc0, x[1]), (1,))[0]]
         near: dict[tuple, set] = {}
         for (d, t, k, start), edits in aligned([(d, t, k, int(s)) for d, t, k, starts, _ in todo for s in samples(starts.tolist())], STRIDE):
             if edits <= self.e[t] + STRIDE:
@@ -203,8 +247,7 @@ class Index:
         rest = [(d, t, k, int(s)) for d, t, k, starts, _ in todo if (d, t, k) in near for s in starts if int(s) in near[d, t, k]]
         for (d, t, _, start), edits in aligned(rest, 0):
             if edits <= self.e[t]:
-                best[d, t] = min(best.get((d, t), (edits, start)), (edits, start))
-        return [(d, t, *v) for (d, t), v in sorted(best.items())]
+                best[d + doc0, t] = min(best.get((d + doc0, t), (edits, start)), (edits, start))
 
     def leaks(self, texts) -> list[tuple[int, int, int, int]]:
         """search() over an Arrow column, in pieces; a text beyond PIECE bytes is cut with an overlap of two windows."""

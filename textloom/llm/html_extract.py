@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -57,7 +58,9 @@ BAD_NAMES = frozenset(
 BOXES = frozenset("area banner bar block bottom box container group inner item items left links list main outer panel right row section slot top unit wrap wrapper zone".split())
 OTHERS = frozenset("above after article before below body content entry has hide is layout no non not page post show story under with without".split())
 NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
-TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^"'>]|"[^"]*"|'[^']*')*+)>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)>""", re.S)
+TAG = re.compile(r"""<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^"'>]|"[^"]*"|'[^']*')*+)>""", re.S)
+OPEN_TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)")
+QUOTED = 1024  # characters in which a tag's quoted attributes are looked for; a longer tag ends at its first >
 ATTR = re.compile(r"""([a-zA-Z_:][-\w:.]*)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -65,6 +68,24 @@ WORD = re.compile(r"[^\W\d_]+")
 NAMED, SURE = 1, 2
 
 
+def next_tag(page: str, lt: int, last: int) -> tuple[int, bool, str, str] | None:
+    """(end, closing, name, attributes) of the tag, comment or declaration at page[lt]; the name of the latter two is empty.
+    None if it is text. last is the place of the page's last >, so that the time is bounded by QUOTED and the tag's length."""
+    if page.startswith("<!--", lt):
+        end = page.find("-->", lt + 4)
+        return (end + 3 if end >= 0 else len(page)), False, "", ""
+    if lt > last:
+        return None
+    if page.startswith(("<!", "<?"), lt):
+        return page.find(">", lt) + 1, False, "", ""
+    m = TAG.match(page, lt, lt + QUOTED)
+    if m:
+        return m.end(), bool(m[1]), m[2].lower(), m[3]
+    m = OPEN_TAG.match(page, lt)
+    end = page.find(">", lt)
+    return (end + 1, bool(m[1]), m[2].lower(), page[m.end() : end]) if m else None
+
+
 class Block:
     __slots__ = ("parts", "links", "trusted", "bad", "heading")
 
@@ -125,28 +146,29 @@ def blocks(page: str) -> list[Block]:
             found.append(now)
         now = Block(trusted, bad, heading)
 
-    at, n = 0, len(page)
+    at, n, last = 0, len(page), page.rfind(">")
+    depth: Counter = Counter()  # open elements by name
     while at < n:
         lt = page.find("<", at)
         if lt < 0:
             text(page[at:])
             break
-        m = TAG.match(page, lt)
-        if m is None:
-            text(page[at : lt + 1])
-            at = lt + 1
+        found_tag = next_tag(page, lt, last)
+        if found_tag is None:
+            end = page.find("<", lt + 1)
+            text(page[at : end if end >= 0 else n])
+            at = end if end >= 0 else n
             continue
         text(page[at:lt])
-        at = m.end()
-        tag = (m[2] or m[5] or "").lower()
+        at, closing, tag, attrs = found_tag
         if not tag:
             continue
-        closing, attrs = bool(m[1] or m[4]), m[3] or m[6] or ""
         if tag in RAW and not closing:
             if attrs.endswith("/") and tag in ("svg", "math"):
                 continue
-            end = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at)
-            at = end.end() if end else n
+            end = re.compile(rf"</{tag}\b", re.I).search(page, at)
+            at = page.find(">", end.end()) + 1 if end else 0
+            at = at or n
             continue
         if tag == "br":
             now.parts.append(" ")
@@ -159,17 +181,19 @@ def blocks(page: str) -> list[Block]:
                 cut()
         if tag in CONTAINERS and tag not in VOID:
             if closing:
-                for k in range(len(stack) - 1, -1, -1):
-                    if stack[k][0] == tag:
-                        del stack[k:]
+                while depth[tag]:  # all above it end with it
+                    name = stack.pop()[0]
+                    depth[name] -= 1
+                    if name == tag:
                         break
             elif not attrs.endswith("/"):
                 if tag in ("p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "td", "tr") and stack and stack[-1][0] == tag:
-                    stack.pop()  # its end tag was left out
+                    depth[stack.pop()[0]] -= 1  # its end tag was left out
                 if tag in BLOCKS and tag != "p" and stack and stack[-1][0] == "p":
-                    stack.pop()
+                    depth[stack.pop()[0]] -= 1
                 below = stack[-1] if stack else ("", False, 0)
                 own, root = _furniture(tag, attrs, below[1]), tag in ("article", "main") and below[2] != SURE
+                depth[tag] += 1
                 stack.append((tag, below[1] or (root and not own), own if root else max(below[2], own)))
             trusted, bad = stack[-1][1:] if stack else (False, 0)
         if tag in BLOCKS:

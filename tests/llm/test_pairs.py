@@ -168,5 +168,21 @@ def test_ann_edge_cases(spark):
     assert ann.nearest(df.limit(0), df).count() == 0 and ann.nearest(df, df.limit(0)).count() == 0
 
 
+def test_ann_keeps_extreme_vectors_lengths_and_ties(spark, monkeypatch):
+    """Vectors whose squares leave the range of doubles, two lengths in one table, and many copies of one vector."""
+    monkeypatch.setattr(ann, "SHARD", 100)
+    rows = [(0, [1e-200, 0.0]), (1, [1e200, 1.0]), (2, [5e-324, 5e-324]), (20, [1.0, 0.0, 2.0]), (3, [1.0, 1.0, 1.0])]
+    rng = np.random.default_rng(3)
+    one = rng.standard_normal(7).tolist()
+    rows += [(k, one) for k in range(100, 1300)] + [(40, [-x for x in one]), (60, one)]
+    df = spark.createDataFrame([(i, v) for i, v in rows], "vec_id long, embedding array<double>").repartition(4)
+    got = {}
+    for r in ann.nearest(df, df.where("vec_id in (0, 1, 20, 40, 60)")).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    assert sorted(got[0])[0] == (1, 1, 1.0) and len(got[0]) == 2 and {x[1] for x in got[1]} == {0, 2}
+    assert sorted(got[20]) == [(1, 3, 3.0)]
+    assert [x[1] for x in sorted(got[60])] == list(range(100, 120)) and [x[1] for x in sorted(got[40])] == [60, *range(100, 119)]
+
+
 def test_chi_square():
     assert abs(ann.chi_square_quantile(0.95, 8) - 15.507) < 1e-3 and abs(ann.chi_square_quantile(0.5, 2) - 1.386) < 1e-3

@@ -111,9 +111,10 @@ class Cells:
 class ShardTree:
     """A kd-tree over the projections of a shard's vectors; leaves of about LEAF points with their boxes."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, norm: float, dims: int = DIMS):
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, norm: float, unit: int = 0, dims: int = DIMS):
         order = np.argsort(ids, kind="stable")
-        ids, vectors = ids[order], vectors[order]
+        ids, self.whole = ids[order], vectors[order]
+        vectors = scaled(self.whole, unit)[0]
         self.matrix = projection(vectors.shape[1], dims)
         self.norm2 = norm * norm
         points = projected(vectors, norm, dims)
@@ -134,7 +135,8 @@ class ShardTree:
 
     def search(self, ids: np.ndarray, queries: np.ndarray, k: int, sure: float, floor: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """(rows of the shard, scores) of shape (queries, k), best first, ties to the smaller id; missing ones have row -1.
-        floor: each query's K-th score so far."""
+        floor: each query's K-th score so far. Matrix products only tell which candidates may be among the best, with a
+        margin for their rounding; these are ordered by sums from the first component to the last, so copies tie."""
         n = len(ids)
         at = queries @ self.matrix[:-1]
         near = box_distance(at, self.low, self.high)
@@ -142,6 +144,7 @@ class ShardTree:
         best = np.full((n, k), -np.inf)
         who = np.full((n, k), -1, np.int64)
         length2 = np.einsum("ij,ij->i", queries, queries)
+        margin = 1e-13 * queries.shape[1] * np.sqrt(length2 * self.norm2)
         stop = chi_square_quantile(sure, at.shape[1])
         live = np.arange(n)
         for step in range(len(self.leaves)):
@@ -157,8 +160,15 @@ class ShardTree:
                 q, cand = live[leaf == x], self.leaves[x]
                 score = queries[q] @ self.vectors[cand].T
                 score[ids[q][:, None] == self.ids[cand][None, :]] = -np.inf
-                better = score.max(axis=1) >= best[q, -1]
-                q, score = q[better], score[better]
+                may = score >= (best[q, -1] - margin[q])[:, None]
+                may &= ~np.isneginf(score)
+                better = may.any(axis=1)
+                q, may = q[better], may[better]
+                score = np.full(may.shape, -np.inf)
+                a, b = np.nonzero(may)
+                for s in range(0, len(a), 1 << 16):
+                    i, j = a[s : s + (1 << 16)], b[s : s + (1 << 16)]
+                    score[i, j] = np.cumsum(queries[q[i]] * self.vectors[cand[j]], axis=1)[:, -1]
                 all_s = np.concatenate([best[q], score], axis=1)
                 all_i = np.concatenate([who[q], np.broadcast_to(cand, score.shape)], axis=1)
                 pick = np.lexsort((all_i, -all_s), axis=1)[:, :k]
@@ -168,40 +178,57 @@ class ShardTree:
 
     def exact(self, queries: np.ndarray, who: np.ndarray) -> np.ndarray:
         """Inner products of queries and their found rows, summed from the first component to the last."""
-        return np.stack([np.cumsum(queries * self.vectors[w], axis=1)[:, -1] for w in np.maximum(who, 0).T], axis=1)
+        return np.stack([np.cumsum(queries * self.whole[w], axis=1)[:, -1] for w in np.maximum(who, 0).T], axis=1)
 
 
 def vectors_of(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
-    """(id, v array<double>, n2) of the vectors that take part: not null, not zero, all components finite."""
+    """(id, v array<double>, most) of the vectors that take part: not null, not zero, all components finite; most is the
+    greatest absolute component."""
     v = F.col(vec_col).cast("array<double>")
     rows = df.select(F.col(id_col).cast("long").alias("id"), v.alias("v")).where("id is not null and v is not null and size(v) > 0")
     fine = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
-    rows = rows.where(fine).withColumn("n2", F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
-    return rows.where("n2 > 0 and n2 < double('Infinity')")
+    rows = rows.where(fine & F.exists("v", lambda x: x != 0))
+    return rows.withColumn("most", F.array_max(F.transform("v", F.abs)))
 
 
 def nearest(base: DataFrame, queries: DataFrame, k: int = K, sure: float = SURE, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """(query_id, rank int, vec_id, score double): the k candidates of largest inner product found for each query, nearest
     first, ties to the smaller id. A query's own id is no candidate. Vectors null, zero or with null or non-finite
-    components take no part; of rows with equal ids each counts; vectors of another length than the most common one take
-    no part either; empty tables give no rows; other columns are ignored."""
+    components take no part; of rows with equal ids each counts; vectors of each length are searched among themselves, as
+    only these have an inner product; empty tables give no rows; other columns are ignored. Squares are taken of vectors
+    scaled by a power of two, so that no finite vector is too short or too long."""
     spark = base.sparkSession
     bounded_batches(spark)
     base = materialise(vectors_of(base, id_col, vec_col), "vectors")
-    sizes = base.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("n"), F.max("n2").alias("m")).orderBy(F.desc("n"), "d").limit(1).collect()
-    schema = "query_id long, rank int, vec_id long, score double"
-    if not sizes:
-        return spark.createDataFrame([], schema)
-    dims, n, norm = sizes[0].d, sizes[0].n, math.sqrt(sizes[0].m)
-    base = base.where(F.size("v") == dims).select("id", "v")
-    queries = vectors_of(queries, id_col, vec_col).where(F.size("v") == dims).select("id", "v")
+    queries = vectors_of(queries, id_col, vec_col)
+    out = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    for r in base.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("n"), F.max("most").alias("most")).orderBy("d").collect():  # a row for each length
+        some = (x.where(F.size("v") == r.d).select("id", "v") for x in (base, queries))
+        out = out.union(_nearest(*some, r.d, r.n, r.most, k, sure))
+    return out
+
+
+def scaled(v: np.ndarray, exponent: int | None = None) -> tuple[np.ndarray, np.ndarray | int]:
+    """(v over 2 ** exponent, exponent); by default each row has its own, by which its greatest component is under 1."""
+    if exponent is None:
+        e = np.frexp(np.abs(v).max(axis=1, initial=0.0))[1]
+        return np.ldexp(v, -e[:, None]), e
+    return np.ldexp(v, -exponent), exponent
+
+
+def _nearest(base: DataFrame, queries: DataFrame, dims: int, n: int, most: float, k: int, sure: float) -> DataFrame:
+    """nearest() of rows (id, v) whose vectors all have dims components, in base of most at most. The index holds vectors
+    over one power of two, and each query is searched for over its own, which leaves its order of nearness as it is."""
+    part, unit = math.frexp(most)
+    longest = base.agg(F.max(F.aggregate("v", F.lit(0.0), lambda a, x: a + (x / F.lit(most)) * (x / F.lit(most))))).first()[0]
+    norm = math.sqrt(longest) * part
     sample = np.array([r.v for r in base.orderBy(F.xxhash64("id", F.lit(SEED)), "id").limit(max(1000, min(SAMPLE, 2_000_000 // dims))).select("v").collect()])
-    cells = Cells(projected(sample, norm), min(CELLS, max(1, round(n / SHARD)), max(1, len(sample) // 16)))
+    cells = Cells(projected(scaled(sample, unit)[0], norm), min(CELLS, max(1, round(n / SHARD)), max(1, len(sample) // 16)))
 
     def assign(batches):
         for batch in batches:
             v = batch.column(1).flatten().to_numpy().reshape(-1, dims)
-            p = projected(v, norm)
+            p = projected(scaled(v, unit)[0], norm)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(cells.of(p)), *(pa.array(p[:, j]) for j in range(DIMS))], ["id", "v", "cell", *(f"p{j}" for j in range(DIMS))])
 
     axes = [f"p{j}" for j in range(DIMS)]
@@ -217,13 +244,13 @@ def nearest(base: DataFrame, queries: DataFrame, k: int = K, sure: float = SURE,
     def visits(first: bool):
         def run(batches):
             for batch in batches:
-                q = batch.column(1).flatten().to_numpy().reshape(-1, dims)
+                q, e = scaled(batch.column(1).flatten().to_numpy().reshape(-1, dims))
                 near = box_distance(q @ m[:-1], low, high)
                 own = near.argmin(axis=1)
                 if first:
                     take = [own[i : i + 1] for i in range(len(q))]
                 else:
-                    kth = np.einsum("ij,ij->i", q, q) + norm * norm - 2 * batch.column(2).to_numpy(zero_copy_only=False)
+                    kth = np.einsum("ij,ij->i", q, q) + norm * norm - 2 * np.ldexp(batch.column(2).to_numpy(zero_copy_only=False), -e - unit)
                     go = near <= stop * np.maximum(kth, 0.0)[:, None]
                     go[np.arange(len(q)), own] = False
                     take = [np.nonzero(g)[0] for g in go]
@@ -243,11 +270,12 @@ def nearest(base: DataFrame, queries: DataFrame, k: int = K, sure: float = SURE,
 
         def grown(rows):
             ids, v, _ = matrix(rows)
-            return ShardTree(ids, v, norm)
+            return ShardTree(ids, v, norm, unit)
 
         def answer(tree, rows):
             ids, q, floor = matrix(rows)
-            who, _ = tree.search(ids, q, k, sure, floor)
+            own, e = scaled(q)
+            who, _ = tree.search(ids, own, k, sure, np.ldexp(floor, -e - unit))
             keep, score = who >= 0, tree.exact(q, who)
             return pa.RecordBatch.from_arrays([pa.array(np.broadcast_to(ids[:, None], who.shape)[keep]), pa.array(tree.ids[who[keep]]), pa.array(score[keep])], ["query_id", "vec_id", "score"])
 
@@ -285,7 +313,7 @@ def nearest(base: DataFrame, queries: DataFrame, k: int = K, sure: float = SURE,
     near = found(queries.withColumn("floor", F.lit(None).cast("double")), True)
     near = materialise(near.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k), "nearest")
     floors = near.where(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("score").alias("floor"))
-    asked = queries.join(floors, "id", "left").select("id", "v", F.coalesce("floor", F.lit(float("-inf"))).alias("floor"))
+    asked = queries.join(floors, "id", "left").select("id", "v", F.when(F.abs("floor").between(1e-290, 1e290), F.col("floor")).otherwise(F.lit(float("-inf"))).alias("floor"))
     out = near.select("query_id", "vec_id", "score").union(found(asked, False))
     return out.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 

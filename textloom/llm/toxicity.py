@@ -1,14 +1,19 @@
 """Operator 2: toxic passages by maximum-scoring segments over token log-odds.
 
-A token's score is the log-odds of its features (the word and its beginnings of PREFIXES letters) between toxic and
-other labelled texts, smoothed by a Dirichlet prior that is shaped by the feature's own overall rate. Of M candidate features
-those whose log-likelihood ratio G2 is under 2 ln M + 2 (less than one by chance) or whose log-odds are under MIN_ODDS
-say nothing; all tokens without a telling feature share the one, slightly
-negative, score of the rest. The linear-time scan of Ruzzo and Tompa finds all maximal scoring segments; a segment of
-score S among n tokens has the extreme-value significance exp(-(S - ln n)), as scores are log-likelihood ratios
-(lambda = 1). A text's evidence S - ln n of its best segment is turned into a probability by a logistic curve.
-
-Fitting uses at most TRAIN_ROWS labelled rows of each class, those of least hash; everything else reads all rows.
+A token's score is the log-odds of its feature (the word, or else its longest telling beginning of PREFIXES letters)
+between toxic and other labelled texts, smoothed by a Dirichlet prior of PRIOR texts that is shaped by the feature's own
+overall rate. Scores have both signs: of M features those count whose log-likelihood ratio G2 is 2 ln M + 2 or more (less
+than one by chance), whichever class they speak for; any other token has the slightly negative score REST. Scores are
+shifted, if need be, so that a token of clean texts is expected to score REST at most.
+
+The linear-time scan of Ruzzo and Tompa finds all maximal scoring segments. Their scores are calibrated as extreme values
+by Karlin and Altschul: lambda solves E exp(lambda s) = 1 over the tokens of clean texts, and K is such that clean texts of
+n tokens have K n exp(-x) segments of lambda S >= x. Segments of lambda S >= LEAST are aggregated: the r best of them have
+T = sum(lambda S - ln(1 + K n)) and the significance exp(-T) T^(r-1) / (r! (r-1)!). A text's evidence is the greatest
+-ln of it over r, and 0 without such a segment; a logistic curve turns it into a probability.
+
+Fitting uses at most TRAIN_ROWS labelled rows of each class, those of least hash, and of near copies among them one
+row; everything else reads all rows. A learning row is scored for calibration by odds that leave its own counts out, so no other rows are needed for it.
 """
 
 from __future__ import annotations
@@ -22,18 +27,18 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm._common import bounded_batches, load
+from textloom.llm._common import bounded_batches, discard, load, materialise, mix64, strings
+from textloom.llm.shingles import shingle_sets
 
 TRAIN_ROWS = 8_000
-FEATURES = 50_000
-PREFIXES = (4, 5, 6)
-PRIOR = 1.0
-MIN_ODDS = 2.5  # least log-odds of a telling feature
-SATURATED = 25.0  # evidence beyond which a text isn't surer to be toxic
+PREFIXES = (6, 5, 4)
+PRIOR = 30.0
 REST = -0.05
-SIGNIFICANT = 2.0
+LEAST = 2.0  # lambda S of a segment that counts
+SIGNIFICANT = 2.0  # lambda S - ln(1 + K n) of a passage
 WORD = re.compile(r"[^\W\d_]+")
 CACHE = 150_000
+SKETCHES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 
 
 def held_out(id_col: Column, fold: int, remainder: int) -> Column:
@@ -67,64 +72,92 @@ def maximal_segments(scores: list[float]) -> list[tuple[int, int, float]]:
 
 
 class Model:
-    """Scores of telling features and the logistic curve over the evidence; at most FEATURES features."""
+    """Scores of telling features, lambda and K, and the logistic curve over the evidence."""
 
-    def __init__(self, scores: dict[str, float], slope: float = 1.0, offset: float = 0.0):
-        self.scores, self.slope, self.offset = scores, slope, offset
+    def __init__(self, scores: dict[str, float], shift: float = 0.0, lam: float = 1.0, k: float = 1.0, slope: float = 1.0, offset: float = -20.0):
+        self.scores, self.rest, self.lam, self.k, self.slope, self.offset = {f: x - shift for f, x in scores.items()}, REST - shift, lam, k, slope, offset
         self._cache: dict[str, float] = {}
 
     def __getstate__(self):
-        return {"scores": self.scores, "slope": self.slope, "offset": self.offset, "_cache": {}}
+        return self.__dict__ | {"_cache": {}}
 
     def token(self, t: str) -> float:
         s = self._cache.get(t)
         if s is None:
-            found = [self.scores[f] for f in features(t) if f in self.scores]
-            s = max(found) if found else REST
+            s = next((self.scores[f] for f in features(t) if f in self.scores), self.rest)
             if len(self._cache) >= CACHE:
                 self._cache.clear()
             self._cache[t] = s
         return s
 
     def segments(self, text: str | None) -> tuple[list[tuple[int, int, float]], int]:
-        """(maximal segments as token ranges with scores, number of tokens); runs of telling-nothing tokens are one gap."""
+        """(maximal segments as token ranges with lambda times their scores, number of tokens); runs of tokens that tell
+        nothing are one gap."""
         tokens = WORD.findall((text or "").lower())
-        get, seen, token = self._cache.get, [], self.token
+        get, seen, token, rest = self._cache.get, [], self.token, self.rest
         for i, t in enumerate(tokens):
             s = get(t)
             if s is None:
                 s = token(t)
-            if s != REST:
+            if s != rest:
                 seen.append((i, s))
-        if not seen:
-            return [], len(tokens)
         scores, place, last = [], [], -1
         for i, s in seen:
             if i - last > 1 and last >= 0:
-                scores.append(REST * (i - last - 1))
+                scores.append(rest * (i - last - 1))
                 place.append(last + 1)
             scores.append(s)
             place.append(i)
             last = i
-        return [(place[a], place[b - 1] + 1, s) for a, b, s in maximal_segments(scores)], len(tokens)
+        return [(place[a], place[b - 1] + 1, self.lam * s) for a, b, s in maximal_segments(scores)], len(tokens)
+
+    def aggregated(self, values: list[float], n: int) -> float:
+        """The evidence of a text of n tokens whose segments have these lambda S; 0 is the least."""
+        level = math.log(1 + self.k * n)
+        best = total = 0.0
+        for r, x in enumerate(sorted((v - level for v in values if v >= LEAST and v > level), reverse=True), 1):
+            total += x
+            best = max(best, total - (r - 1) * math.log(max(total, 1.0)) + math.lgamma(r + 1) + math.lgamma(r) if total >= r else 0.0)
+        return best
 
     def evidence(self, text: str | None) -> tuple[float, int]:
-        """(evidence of the best segment, number of significant segments)."""
+        """(evidence of the text, number of its toxic passages)."""
         found, n = self.segments(text)
-        level = math.log(n + 1)
-        values = [s - level for *_, s in found]
-        return min(SATURATED, max(values, default=-level)), sum(v >= SIGNIFICANT for v in values)
+        level = math.log(1 + self.k * n)
+        return self.aggregated([s for *_, s in found], n), sum(s - level >= SIGNIFICANT for *_, s in found)
 
     def probability(self, evidence: float) -> float:
         return 1 / (1 + math.exp(-max(-500.0, min(500.0, self.slope * evidence + self.offset))))
 
     def passages(self, text: str | None) -> list[tuple[int, int, float]]:
-        """Significant toxic passages as (start, end exclusive, evidence) in code points of the text."""
+        """Significant toxic passages as (start, end exclusive, lambda S - ln(1 + K n)) in code points of the text."""
         found, n = self.segments(text)
+        level = math.log(1 + self.k * n)
         spans = [m.span() for m in WORD.finditer(text or "")]
         if len(spans) != n:  # lower-casing changed the number of letters
             spans = [m.span() for m in WORD.finditer((text or "").lower())]
-        return [(spans[a][0], spans[b - 1][1], s - math.log(n + 1)) for a, b, s in found if s - math.log(n + 1) >= SIGNIFICANT]
+        return [(spans[a][0], spans[b - 1][1], s - level) for a, b, s in found if s - level >= SIGNIFICANT]
+
+
+def log_odds(pos: int, neg: int, n1: int, n0: int, least: float) -> float | None:
+    """The smoothed log-odds of a feature in pos of n1 toxic and neg of n0 other texts; None if its G2 is under least."""
+    c, n = pos + neg, n1 + n0
+    if c < 1:
+        return None
+    g2 = 2 * sum(x * math.log(x * n / (c * m)) for x, m in ((pos, n1), (neg, n0)) if x)
+    p1, p0 = (pos + PRIOR * c / n) / (n1 + PRIOR), (neg + PRIOR * c / n) / (n0 + PRIOR)
+    return math.log(p1 / (1 - min(p1, 0.999))) - math.log(p0 / (1 - min(p0, 0.999))) if g2 >= least else None
+
+
+def karlin_lambda(scores: np.ndarray, counts: np.ndarray) -> float:
+    """The positive root of sum(p exp(lambda s)) = 1, of at most 1; 1 where no score is positive."""
+    if not (scores > 0).any():
+        return 1.0
+    lo, hi = 1e-3, 1.0
+    for _ in range(60):
+        mid = (lo + hi) / 2
+        lo, hi = (mid, hi) if (counts * np.exp(np.minimum(mid * scores, 700))).sum() <= counts.sum() else (lo, mid)
+    return lo
 
 
 def logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
@@ -155,10 +188,27 @@ def training_rows(docs: DataFrame, labels: DataFrame, use: Column, per_class: in
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(picked), "doc_id").select("text", "y").dropDuplicates()
 
 
+def unlike(rows: DataFrame) -> DataFrame:
+    """One of each group of near copies among a bounded number of rows (text, y): of rows of a class that share the least
+    hash of their word 3-grams, by one of three orders, one stays. Copies aren't independent evidence for a word."""
+
+    def sketch(batches):
+        for batch in batches:
+            raw, offsets = strings(batch.column(0))
+            sets = [s if len(s) else np.zeros(1, np.uint64) for s in shingle_sets(raw, offsets, 3)]
+            least = [pa.array([int(mix64(s ^ np.uint64(k)).min().astype(np.int64)) for s in sets], pa.int64()) for k in SKETCHES]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *least], ["text", "y", "m0", "m1", "m2"])
+
+    rows = rows.mapInArrow(sketch, "text string, y int, m0 long, m1 long, m2 long")
+    for m in ("m0", "m1", "m2"):
+        rows = rows.groupBy("y", m).agg(F.min(F.struct(*sorted({"m0", "m1", "m2"} - {m}), "text")).alias("x")).select("y", m, "x.*")
+    return materialise(rows.select("text", "y"), "learning")
+
+
 def fit(docs: DataFrame, labels: DataFrame, use: Column) -> Model:
     """A model from the labelled rows of docs with use true. Without rows of both classes, nothing is called toxic."""
     bounded_batches(docs.sparkSession)
-    rows = training_rows(docs, labels, use)
+    rows = unlike(training_rows(docs, labels, use))
 
     def count(batches):
         c: Counter = Counter()
@@ -173,36 +223,52 @@ def fit(docs: DataFrame, labels: DataFrame, use: Column) -> Model:
         yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in c], pa.string()), pa.array([k[1] for k in c], pa.int32()), pa.array(list(c.values()), pa.int64())], ["f", "y", "n"])
 
     counts = rows.mapInArrow(count, "f string, y int, n long").groupBy("f").agg(F.sum(F.when(F.col("y") == 1, F.col("n")).otherwise(0)).alias("pos"), F.sum(F.when(F.col("y") == 0, F.col("n")).otherwise(0)).alias("neg"))
-    # a feature with few toxic texts can't be telling; of the others, those of highest counts fit the bound
-    found = counts.where("f = '' or pos >= 3").orderBy(F.col("f") != "", F.col("pos").desc(), "neg", "f").limit(FEATURES * 4).collect()
-    total = next(((r.pos, r.neg) for r in found if r.f == ""), (0, 0))
-    if not all(total):
-        return Model({}, 1.0, -20.0)
-    n1, n0 = total
-    share = n1 / (n1 + n0)
-    least = 2 * math.log(max(2, len(found))) + 2
-    scores = {}
-    for r in found:
-        if r.f and r.pos / n1 > r.neg / n0:
-            c = r.pos + r.neg
-            g2 = 2 * (r.pos * math.log(r.pos / (c * share)) + (r.neg * math.log(r.neg / (c * (1 - share))) if r.neg else 0))
-            if g2 >= least:
-                prior = PRIOR * c / (n1 + n0)
-                p1, p0 = (r.pos + n1 * prior / (n1 + n0) + 0.1) / (n1 + 1), (r.neg + n0 * prior / (n1 + n0) + 0.1) / (n0 + 1)
-                odds = math.log(p1 / (1 - min(p1, 0.999))) - math.log(p0 / (1 - min(p0, 0.999)))
-                if odds >= MIN_ODDS:
-                    scores[r.f] = (odds, g2)
-    best = sorted(scores, key=lambda f: (-scores[f][1], f))[:FEATURES]
-    model = Model({f: scores[f][0] for f in best})
-    held = docs.sparkSession.sparkContext.broadcast(model)
-
-    def evidence(batches):
+    total = counts.where("f = ''").first()
+    n1, n0 = (total.pos, total.neg) if total else (0, 0)
+    if not n1 or not n0:
+        discard(rows)
+        return Model({})
+    counts = materialise(counts.where("f <> '' and pos + neg >= 3"), "features")
+    least = 2 * math.log(max(2, counts.count())) + 2
+    c = F.col("pos") + F.col("neg")
+    g2 = sum(F.when(F.col(x) > 0, 2 * F.col(x) * F.log(F.col(x) * (n1 + n0) / (c * n))).otherwise(0.0) for x, n in (("pos", n1), ("neg", n0)))
+    telling = counts.where(g2 >= least).collect()  # of a bounded sample of rows
+    discard(counts)
+
+    def odds(less1: int, less0: int) -> dict[str, float]:
+        found = ((r.f, log_odds(max(0, r.pos - less1), max(0, r.neg - less0), n1 - less1, n0 - less0, least)) for r in telling)
+        return {f: x for f, x in found if x is not None}
+
+    without = {0: odds(0, 1), 1: odds(1, 0)}  # for texts of either class, whose own counts are left out
+    raw = docs.sparkSession.sparkContext.broadcast(Model(without[0]))
+
+    def histogram(batches):
+        c: Counter = Counter()
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array([held.value.evidence(t.as_py())[0] for t in batch.column(0)], pa.float64()), batch.column(1).cast(pa.int32())], ["x", "y"])
+            for text, y in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
+                if not y:
+                    c.update(map(raw.value.token, WORD.findall((text.as_py() or "").lower())))
+        yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.float64()), pa.array(list(c.values()), pa.int64())], ["s", "n"])
 
-    xy = rows.mapInArrow(evidence, "x double, y int").collect()  # at most 2 TRAIN_ROWS, more only if labelled ids repeat
-    x, y = np.array([r.x for r in xy]), np.array([r.y for r in xy])
-    model.slope, model.offset = logistic(x, y)
+    seen = rows.mapInArrow(histogram, "s double, n long").groupBy("s").agg(F.sum("n").alias("n")).collect()  # as many as telling features
+    s, n = (np.array([r[k] for r in seen], float) for k in ("s", "n"))
+    shift = max(0.0, float((s * n).sum() / n.sum()) - REST) if len(s) else 0.0
+    lam = karlin_lambda(s - shift, n) if len(s) else 1.0
+    both = docs.sparkSession.sparkContext.broadcast({y: Model(x, shift, lam) for y, x in without.items()})
+
+    def segments(batches):
+        for batch in batches:
+            ys = batch.column(1).to_pylist()
+            found = [both.value[y].segments(t.as_py()) for t, y in zip(batch.column(0), ys, strict=True)]
+            values = pa.array([[v for *_, v in f if v >= LEAST] for f, _ in found], pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([values, pa.array([n for _, n in found], pa.int64()), pa.array(ys, pa.int32())], ["v", "n", "y"])
+
+    found = rows.mapInArrow(segments, "v array<double>, n long, y int").collect()  # at most 2 TRAIN_ROWS, more only if labelled ids repeat
+    discard(rows)
+    clean = [r for r in found if not r.y]
+    k = (sum(len(r.v) for r in clean) + 0.5) * math.exp(LEAST) / max(1, sum(r.n for r in clean))
+    model = Model(odds(0, 0), shift, lam, k)
+    model.slope, model.offset = logistic(np.array([model.aggregated(r.v, r.n) for r in found]), np.array([r.y for r in found]))
     return model
 
 

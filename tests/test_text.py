@@ -66,7 +66,7 @@ def test_jaccard(spark):
 
 def test_phrases(spark):
     assert value(spark, "tembo tembo forro", lambda c: T.substring_count(c, ["tembo", "tembo forro", "tembo"])) == 5
-    assert value(spark, "Aña Rembo’i", lambda c: T.normalize_guarani(c)) == "ana remboi"
+    assert value(spark, "Aña Rembo’i", lambda c: T.lookup_form(c)) == "ana remboi"
     assert value(spark, "x", lambda c: T.extract_text(F.lit(None).cast("string"), F.lit(""), c)) == ""
 
 

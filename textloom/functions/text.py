@@ -53,7 +53,7 @@ def fold_diacritics(text: Column | str) -> Column:
     return F.regexp_replace(F.translate(_col(text), *folding_map()), r"\p{Mn}", "")
 
 
-def normalize_guarani(text: Column | str) -> Column:
+def lookup_form(text: Column | str) -> Column:
     """Folded, without apostrophes, lower-case: the form in which offensive phrases are looked up."""
     return F.lower(F.regexp_replace(fold_diacritics(text), "[ʼ’']", ""))
 

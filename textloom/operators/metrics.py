@@ -63,7 +63,7 @@ def document_metrics(docs: DataFrame, id_cols: list[str], text_col: str = "text"
         n.alias("n_sentences"), *total.values(), F.max("n_words").alias("max_words"), F.min("n_words").alias("min_words"),
         F.sum(F.when(F.col("capital") == 1, F.col("n_words")).otherwise(0)).alias("capital_words"),
     )
-    bad = docs.select(*id_cols, T.substring_count(T.normalize_guarani(F.coalesce(F.col(text_col), F.lit(""))), normalized_bad_words(docs.sparkSession)).alias("bad"))
+    bad = docs.select(*id_cols, T.substring_count(T.lookup_form(F.coalesce(F.col(text_col), F.lit(""))), normalized_bad_words(docs.sparkSession)).alias("bad"))
     rows = bad.join(sums, id_cols, "left").na.fill(0)
     rows = rows.withColumn("n_low", F.lit(0)) if low_language is None else rows.join(low_language, id_cols, "left").na.fill(0, ["n_low"])
     c, k = F.col, F.col("n_sentences")
@@ -88,7 +88,7 @@ def normalized_bad_words(spark, phrases: list[str] = BAD_WORDS, dedup: bool = Fa
     """The phrases in the form they are looked up in, folded once on the driver; duplicates stay unless dedup."""
     key = "\n".join(phrases)
     if key not in _NORMAL:
-        row = spark.range(1).select(F.transform(F.array(*map(F.lit, phrases)), lambda p: T.normalize_guarani(p)).alias("p")).first()
+        row = spark.range(1).select(F.transform(F.array(*map(F.lit, phrases)), lambda p: T.lookup_form(p)).alias("p")).first()
         _NORMAL[key] = [p for p in row.p if p]
     found = _NORMAL[key]
     return list(dict.fromkeys(found)) if dedup else found

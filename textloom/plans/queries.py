@@ -195,7 +195,7 @@ def canonicalize_text(spark, sf_dir):
 
 @query("fold_diacritics", f"WITH {DOCS} SELECT doc_id, {fold_sql('text')} AS c FROM d")
 def fold_diacritics(spark, sf_dir):
-    return with_extra(spark, sf_dir).select("doc_id", T.normalize_guarani("text").alias("c"))
+    return with_extra(spark, sf_dir).select("doc_id", T.lookup_form("text").alias("c"))
 
 
 @query("token_counts", f"WITH {DOCS} SELECT doc_id, CAST(len({tokens_sql('text')}) AS BIGINT) AS n_tokens, md5(array_to_string({tokens_sql('text')}, ' ')) AS tokens_md5 FROM d")

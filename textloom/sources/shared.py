@@ -9,11 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir as the session has it; a fresh local folder where it is unset, as in tests."""
+    """spark.checkpoint.dir as the session has it; where it is unset, a fresh local folder under a local master, as in tests."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         found = spark.sparkContext._jsc.sc().getCheckpointDir()
         if found.isEmpty():
+            if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+                raise RuntimeError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
             spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="textloom-"))
             found = spark.sparkContext._jsc.sc().getCheckpointDir()
         path = found.get()

@@ -25,6 +25,9 @@ def test_minhash_run(spark, raw, tmp_path):
     flagged = spark.read.json(str(tmp_path / "o/corpora"))
     assert {x.id for x in flagged.where("duplicate.minhash.has_duplicate").collect()} == {"uno_0", "uno_1"} and flagged.count() == 5
     assert {(x.id, tuple(x.dup_ids)) for x in spark.read.json(str(tmp_path / "o/duplicates")).collect()} == {("uno_0", ("uno_1",)), ("uno_1", ("uno_0",))}
+    by_id = {x.id: x.shingles for x in spark.read.json(str(tmp_path / "o/shingles")).collect()}
+    assert len(by_id) == 4 and by_id["uno_0"][0] == "this is one long enough" and len(by_id["uno_1"]) == len(by_id["uno_0"]) + 1
+    assert spark.read.json(str(tmp_path / "o/snapshot")).count() == 5
     assert spark.read.json(str(tmp_path / "o/duplicate_details")).where("id_text <> dup_text").count() == 2
 
 

@@ -11,6 +11,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from textloom.functions import text as T
 from textloom.operators import dedup, metrics, urls, wordfreq
 from textloom.sources import jsonl, sinks
 from textloom.sources.shared import snapshot
@@ -29,7 +30,8 @@ def corpora(spark: SparkSession, data_dir: str) -> DataFrame:
 
 
 def run_minhash(spark: SparkSession, data_dir: str, out: str, shingle_size: int = 5, similarity_threshold: float = 0.8, num_perm: int = 128, details: bool = False) -> None:
-    """Near duplicates: signatures, LSH index, verified pairs, id map, flags and report; with details the pairs' texts too."""
+    """Near duplicates: signatures, LSH index, verified pairs, id map, flags and report; with details the
+    corpora as read, each text's shingles and the pairs' texts too."""
     start = datetime.now()
     docs = snapshot(jsonl.init_flags(corpora(spark, data_dir)), "corpora")
     sets = snapshot(dedup.shingle_sets(docs, "id", size=shingle_size), "shingles")
@@ -40,6 +42,9 @@ def run_minhash(spark: SparkSession, data_dir: str, out: str, shingle_size: int
     wide = dedup.expand(pairs, sets)
     sinks.write_jsonl(dedup.duplicate_map(wide), f"{out}/duplicates")
     if details:
+        sinks.write_corpora(docs, f"{out}/snapshot")
+        shingles = T.shingles(T.tokenize(T.canonicalize("text")), shingle_size)
+        sinks.write_jsonl(docs.where("text <> ''").select("id", "text", shingles.alias("shingles")), f"{out}/shingles")
         sinks.write_pairs(dedup.duplicate_details(wide, docs, "id"), f"{out}/duplicate_details")
     sinks.write_corpora(dedup.annotate(docs, "id", dedup.near_duplicate_flags(docs, "id", pairs, sets)), f"{out}/corpora")
     sinks.write_report(timed(dedup.dedup_report(sets, candidates, pairs, similarity_threshold, num_perm, shingle_size), start), f"{out}/report")

@@ -107,8 +107,14 @@ def read_experiment(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.csv(path, header=True, multiLine=True, escape='"', schema=", ".join(f"`{c}` {kinds.get(c, 'string')}" for c in names))
 
 
+MOST_WORDS = 100_000
+
+
 def read_words(spark: SparkSession, path: str, dedup: bool = False) -> list[str]:
-    """Entries of a word list: trimmed, lower-case, without empty lines and # comments; in file order, duplicates kept."""
-    rows = spark.read.text(path).select(F.monotonically_increasing_id().alias("i"), F.lower(F.trim("value")).alias("w")).where("w <> '' and w not like '#%'").orderBy("i").limit(100_000).collect()
+    """Entries of a word list: trimmed, lower-case, without empty lines and # comments; in file order, duplicates kept. A
+    list of more than MOST_WORDS entries is an error, as it goes to the driver."""
+    rows = spark.read.text(path).select(F.monotonically_increasing_id().alias("i"), F.lower(F.trim("value")).alias("w")).where("w <> '' and w not like '#%'").orderBy("i").limit(MOST_WORDS + 1).collect()
+    if len(rows) > MOST_WORDS:
+        raise ValueError(f"{path} has more than {MOST_WORDS} entries")
     words = [r.w for r in rows]
     return list(dict.fromkeys(words)) if dedup else words

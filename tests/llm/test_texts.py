@@ -4,8 +4,10 @@ import hashlib
 import html
 import random
 import re
+import time
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
@@ -295,3 +297,29 @@ def test_digest(spark):
     assert got[2].turns_sha256 == sha("assistant\nn\n\n\n") and got[None].n_turns == 1 and got[3].loss_sha256 == sha("")
     assert got[3].formatted_chars == sum(len(r.formatted) for r in chat.format_turns(df).where("conv_id = 3").collect())
     assert chat.digest(chat.format_turns(df.limit(0))).count() == 0
+
+
+@pytest.mark.parametrize("text", ["<a " * 100_000, "<div>" * 50_000 + "</span>" * 50_000, "<script>" + "</script " * 50_000, "<" * 100_000])
+def test_hostile_pages_take_linear_time(text):
+    start = time.time()
+    html_extract.extract(text)
+    assert time.time() - start < 5
+
+
+def test_repeated_windows_and_many_hits_change_no_leak(monkeypatch):
+    """Items with repeated windows, searched whole and in halves, give what the first windows give."""
+    rng = random.Random(6)
+    items = [(1, "ab" * 200), (2, "-" * 60 + " some words here " + "-" * 150 + "tail of it"), (3, "".join(rng.choices("abcdef", k=300)))]
+    texts = pa.array(["x" * 30 + "ba" * 80 + "y" * 500, "-" * 400, items[2][1][:150] + "q" * 900 + items[2][1][100:], "q" * 2000, None])
+    index = decontaminate.Index(items)
+    want = index.leaks(texts)
+    assert {(d, t) for d, t, *_ in want} >= {(0, 0), (1, 1), (2, 2)} and not {3, 4} & {d for d, *_ in want}
+    monkeypatch.setattr(decontaminate, "HITS", 500)
+    assert [x[:3] for x in index.leaks(texts)] == [x[:3] for x in want]
+
+
+def test_toxicity_scores_an_empty_text_least():
+    m = toxicity.Model({"bad": 3.0, "good": -2.0}, lam=1.0, k=0.01, slope=1.0, offset=-3.0)
+    some = [m.probability(m.evidence(t)[0]) for t in ("", None, "word " * 50, "good good", "a bad word", "bad bad bad", "bad " + "good " * 9 + "bad")]
+    assert some[0] == some[1] == min(some) == some[2] == some[3] and some[5] > some[4] > some[3] and m.passages("so bad bad")[0][:2] == (3, 10)
+    assert abs(toxicity.karlin_lambda(np.array([1.0, -1.0]), np.array([1.0, 3.0])) - 1.0) < 1e-9 and abs(toxicity.karlin_lambda(np.array([2.0, -1.0]), np.array([1.0, 3.0])) - 0.4196) < 0.2

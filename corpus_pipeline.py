@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from textloom.llm._common import discard, load, materialise
 from textloom.llm.pipeline_stages import STAGES
 
-#: The toxicity model and the banded alignment can't be expressed in SQL; tests/llm holds run() against brute force.
+#: The toxicity model and the banded alignment can't be expressed in SQL; tests/llm holds the stages' operators, not run() as a whole, against brute force.
 ORACLE_SQL = None
 
 

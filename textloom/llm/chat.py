@@ -52,28 +52,53 @@ class Template:
     def __init__(self, path: str):
         self.enc = encoding(path)
         self.start, self.end = self.enc.n_vocab, self.enc.n_vocab + 1
+        self.opening, self.closing = np.array([self.start], np.int32), np.array([self.end], np.int32)
+        self.newline = self.encode(NEWLINE)
+
+    def encode(self, text: str) -> np.ndarray:
+        """Ids of text as ordinary text: the vocabulary itself has no control tokens."""
+        return np.array(self.enc.encode_ordinary(text), np.int32)
 
     def turn(self, role: str | None, text: str | None) -> tuple[list[int], list[int]]:
         """(token ids, loss mask) of one turn; nulls are empty."""
-        parts = [[self.start], self.enc.encode_ordinary(escape_role(role or "") + NEWLINE), self.enc.encode_ordinary(escape(text or "")), [self.end], self.enc.encode_ordinary(NEWLINE)]
-        ids = [t for p in parts for t in p]
-        step = np.zeros(len(ids) + 1, np.int64)
+        ids, mask = self.arrays(role, text)
+        return ids.tolist(), mask.tolist()
+
+    def arrays(self, role: str | None, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        """turn() as arrays."""
+        parts = [self.opening, self.encode(escape_role(role or "") + NEWLINE), self.encode(escape(text or "")), self.closing, self.newline]
+        ids = np.concatenate(parts)
+        step = np.zeros(len(ids) + 1, np.int32)
         if role == LOSS_ROLE:
             borders = np.cumsum([len(p) for p in parts])
             step[borders[1]] += 1
             step[borders[2]] -= 1
-        return ids, np.cumsum(step[:-1]).tolist()
-
-    def read(self, ids: list[int], mask: list[int]) -> tuple[str, str, str, int]:
-        """(role, text, text under the mask, characters of the formatted turn), from nothing but ids and mask."""
-        end = ids.index(self.end)
-        body = self.enc.decode_bytes(ids[1:end]).decode()
+        return ids, np.cumsum(step[:-1], dtype=np.int32)
+
+    def read(self, ids, mask) -> tuple[str, str, str, int]:
+        """(role, text, text under the mask, characters of the formatted turn), from nothing but ids and mask, which are
+        lists or arrays."""
+        ids, mask = np.asarray(ids, np.int32), np.asarray(mask, np.int32)
+        end = int(np.flatnonzero(ids == self.end)[0])
+        body = self.enc.decode_bytes(ids[1:end].tolist()).decode()
         role, _, text = body.partition(NEWLINE)
-        under = self.enc.decode_bytes([t for t, m in zip(ids, mask, strict=True) if m]).decode()
-        tail = self.enc.decode_bytes(ids[end + 1 :]).decode()
+        under = self.enc.decode_bytes(ids[mask == 1].tolist()).decode()
+        tail = self.enc.decode_bytes(ids[end + 1 :].tolist()).decode()
         return unescape_role(role), unescape(text), unescape(under), len(START) + len(body) + len(END) + len(tail)
 
 
+def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
+    """An Arrow column of lists; Python objects are made for rows only, never for tokens."""
+    offsets = np.concatenate([[0], np.cumsum([len(a) for a in arrays])]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(arrays) if arrays else np.zeros(0, np.int32), pa.int32()))
+
+
+def _rows(column: pa.ListArray) -> list[np.ndarray]:
+    """The rows of an Arrow column of lists, as views of its values."""
+    values, offsets = column.values.to_numpy(), column.offsets.to_numpy()
+    return [values[a:b] for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+
+
 def format_turns(turns: DataFrame, path: str | None = None) -> DataFrame:
     """(conv_id, turn, ids array<int>, mask array<int>, formatted string) of each row of turns (conv_id, turn, role, text).
 
@@ -87,9 +112,9 @@ def format_turns(turns: DataFrame, path: str | None = None) -> DataFrame:
         t = Template(path)
         for batch in batches:
             roles, texts = batch.column(2).to_pylist(), batch.column(3).to_pylist()
-            done = [t.turn(r, x) for r, x in zip(roles, texts, strict=True)]
+            done = [t.arrays(r, x) for r, x in zip(roles, texts, strict=True)]
             formatted = [f"{START}{escape_role(r or '')}{NEWLINE}{escape(x or '')}{END}{NEWLINE}" for r, x in zip(roles, texts, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([d[0] for d in done], pa.list_(pa.int32())), pa.array([d[1] for d in done], pa.list_(pa.int32())), pa.array(formatted, pa.string())], ["conv_id", "turn", "ids", "mask", "formatted"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), _lists([d[0] for d in done]), _lists([d[1] for d in done]), pa.array(formatted, pa.string())], ["conv_id", "turn", "ids", "mask", "formatted"])
 
     rows = turns.select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), F.col("role").cast("string"), F.col("text").cast("string"))
     return rows.mapInArrow(run, "conv_id long, turn long, ids array<int>, mask array<int>, formatted string")
@@ -103,7 +128,7 @@ def digest(formatted: DataFrame, path: str | None = None) -> DataFrame:
     def back(batches):
         t = Template(path)
         for batch in batches:
-            rows = [t.read(i, m) for i, m in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
+            rows = [t.read(i, m) for i, m in zip(_rows(batch.column(2)), _rows(batch.column(3)), strict=True)]
             cols = list(zip(*rows, strict=True)) or [[], [], [], []]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(list(cols[k]), pa.string()) for k in range(3)), pa.array(list(cols[3]), pa.int64())], ["conv_id", "turn", "role", "text", "loss", "chars"])
 

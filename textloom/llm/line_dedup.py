@@ -101,9 +101,9 @@ def drop_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
     side = F.broadcast(keys) if keys.count() <= BROADCAST_IDS else keys
     hit = uses.select("rid", "h", "pos", "key").join(side, "key", "left_semi")
     drop = materialise(hit.groupBy("rid", "h").agg(F.collect_set("pos").alias("drop")), "drops")
-    size = drop.agg(F.count("*") + F.sum(F.size("drop"))).first()[0] or 0
     drop = drop.withColumnsRenamed({"rid": rid, "h": h, "drop": drop_col})
-    out = named.join(F.broadcast(drop) if size <= BROADCAST_IDS else drop, [rid, h], "left")
+    # one plan at every size: positions grow with the documents, so they are never broadcast; texts are dealt, not sorted
+    out = named.join(drop.hint("shuffle_hash"), [rid, h], "left")
     text = F.array_join(F.filter(F.split(F.col(text_col), "\n", -1), lambda x, i: ~F.array_contains(F.col(drop_col), i)), "\n")
     out = out.withColumns({text_col: F.when(F.col(drop_col).isNull(), F.col(text_col)).otherwise(text), dropped_col: F.coalesce(F.size(drop_col), F.lit(0))})
     return out.select(*docs.columns, dropped_col)

@@ -193,6 +193,12 @@ def canonicalize_text(spark, sf_dir):
     return with_extra(spark, sf_dir).select("doc_id", T.canonicalize("text").alias("c"))
 
 
+@query("canonicalize_folded", f"WITH {DOCS} SELECT doc_id, {canonical_sql('strip_accents(text)')} AS c FROM d")
+def canonicalize_folded(spark, sf_dir):
+    """Canonical text with precomposed letters folded as well."""
+    return with_extra(spark, sf_dir).select("doc_id", T.canonicalize("text", strip_diacritics=True).alias("c"))
+
+
 @query("fold_diacritics", f"WITH {DOCS} SELECT doc_id, {fold_sql('text')} AS c FROM d")
 def fold_diacritics(spark, sf_dir):
     return with_extra(spark, sf_dir).select("doc_id", T.lookup_form("text").alias("c"))
@@ -290,6 +296,15 @@ def near_dup_flags(spark, sf_dir):
     return dedup.near_duplicate_flags(table(spark, sf_dir, "documents"), "doc_id", dedup.exact_pairs(sets), sets)
 
 
+@query("near_dup_annotated", f"WITH {_PAIRS} SELECT d.doc_id, d.source, coalesce(m.rep IN (SELECT rep FROM f), false) AS has_duplicate FROM documents d LEFT JOIN m ON d.doc_id = m.id")
+def near_dup_annotated(spark, sf_dir):
+    """The flags as annotate() writes them into the documents."""
+    sets = _sets(spark, sf_dir)
+    docs = table(spark, sf_dir, "documents")
+    rows = dedup.annotate(docs, "doc_id", dedup.near_duplicate_flags(docs, "doc_id", dedup.exact_pairs(sets), sets))
+    return rows.select("doc_id", "source", F.col("duplicate.minhash.has_duplicate").alias("has_duplicate"))
+
+
 @query("near_dup_id_map", f"WITH {_PAIRS} SELECT id, array_to_string(list_sort(list(DISTINCT dup_id)), ',') AS dup_ids FROM z GROUP BY id")
 def near_dup_id_map(spark, sf_dir):
     sets = _sets(spark, sf_dir)
@@ -411,6 +426,14 @@ def tokenizer_fertility(spark, sf_dir):
     return s.select("tokenizer", *(F.round(c, 6).alias(c) for c in ("fertility_score", "macro_fertility")), "total_words", "total_tokens", *(F.round(c, 6).alias(c) for c in ("avg_words", "avg_tokens")))
 
 
+@query("tokenizer_types", f"SELECT * FROM (VALUES ('greedy', 'gn'), ('characters', 'general')) AS v(tokenizer, type), (SELECT CAST(sum(len(regexp_extract_all(text, '[\\p{{L}}\\p{{M}}\\p{{N}}_]+'))) AS BIGINT) AS total_words FROM documents)")
+def tokenizer_types(spark, sf_dir):
+    """The summary's type: tokenizers made for the target language, and general ones."""
+    toys = {"greedy": tokeval.greedy_tokenizer(_VOCAB), "characters": tokeval.greedy_tokenizer([])}
+    long = tokeval.run_experiment(table(spark, sf_dir, "documents"), toys, F.size(tokeval.segment(F.col("text"))), "doc_id")
+    return tokeval.fertility_summary(long, ["greedy"]).select("tokenizer", "type", "total_words")
+
+
 @query("continued_words", f"""WITH RECURSIVE x AS (SELECT doc_id, list_transform(regexp_split_to_array(text, '\\s+')[1:30], lambda w: regexp_extract_all(' ' || w, ' ?(?:' || {_GREEDY} || ')')) AS ws FROM documents),
 t AS (SELECT doc_id, flatten(ws) AS tk FROM x),
 r(doc_id, tk, i, n, nw) AS (SELECT doc_id, tk, 0, 0, true FROM t

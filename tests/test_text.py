@@ -66,6 +66,9 @@ def test_jaccard(spark):
 
 def test_phrases(spark):
     assert value(spark, "tembo tembo forro", lambda c: T.substring_count(c, ["tembo", "tembo forro", "tembo"])) == 5
+    phrases = ["a.b", "a.bc", "ab", "ñ (x", "c", "c"]
+    for t in ("", "zz", "a.bca.bab", "axb", "ñ (x ñ x", "aab cc", None):
+        assert value(spark, t, lambda c: T.substring_count(c, phrases)) == (None if t is None else sum(t.count(p) for p in phrases))
     assert value(spark, "Aña Rembo’i", lambda c: T.lookup_form(c)) == "ana remboi"
     assert value(spark, "x", lambda c: T.extract_text(F.lit(None).cast("string"), F.lit(""), c)) == ""
 

@@ -22,15 +22,23 @@ PRIME = (1 << 31) - 1
 SEED = 1
 
 
-def shingle_sets(docs: DataFrame, id_col: str, text_col: str = "text", size: int = 5, exclude_empty: bool = False) -> DataFrame:
-    """(id, h sorted distinct shingle hashes, n). Texts without tokens share the one empty shingle unless excluded."""
+def portable_hash(s: Column) -> Column:
+    """The first 60 bits of a string's md5 as a long: slower than xxhash64(), but every SQL engine has it."""
+    return F.conv(F.substring(F.md5(s), 1, 15), 16, 10).cast("long")
+
+
+def shingle_sets(docs: DataFrame, id_col: str, text_col: str = "text", size: int = 5, exclude_empty: bool = False, portable: bool = False) -> DataFrame:
+    """(id, h sorted distinct shingle hashes, n). Texts without tokens share the one empty shingle unless excluded.
+
+    portable hashes shingles by portable_hash() of their tokens joined by spaces, so that other engines find equal values."""
+    hash_of = (lambda tk: portable_hash(F.array_join(tk, " "))) if portable else F.xxhash64
     tokens = docs.where(F.col(text_col) != "").select(F.col(id_col).alias("id"), T.tokenize(T.canonicalize(text_col)).alias("tk"))
     if exclude_empty:
         tokens = tokens.where(F.size("tk") > 0)
 
     def hashes(tk: Column) -> Column:
-        runs = F.transform(F.sequence(F.lit(0), F.size(tk) - size), lambda i: F.xxhash64(F.slice(tk, i + 1, size)))
-        return F.when(F.size(tk) < size, F.array(F.xxhash64(tk))).otherwise(runs)
+        runs = F.transform(F.sequence(F.lit(0), F.size(tk) - size), lambda i: hash_of(F.slice(tk, i + 1, size)))
+        return F.when(F.size(tk) < size, F.array(hash_of(tk))).otherwise(runs)
 
     # never null, or joins would infer a null check on it and compute the hashes again below every filter
     h = F.coalesce(F.sort_array(F.array_distinct(T.let(F.col("tk"), hashes))), F.array().cast("array<long>"))
@@ -121,7 +129,8 @@ def lsh_params(threshold: float, num_perm: int = 128) -> tuple[int, int]:
 
 def bucket_table(signatures: DataFrame, bands: int, rows: int) -> DataFrame:
     """(band, bucket, id): the LSH index as a table; written with partitionBy or bucketBy it serves later probes."""
-    parts = F.array(*(F.struct(F.lit(k).alias("band"), F.xxhash64(F.slice("sig", k * rows + 1, rows)).alias("bucket")) for k in range(bands)))
+    bucket = lambda k: portable_hash(F.array_join(F.slice("sig", k * rows + 1, rows).cast("array<string>"), ","))
+    parts = F.array(*(F.struct(F.lit(k).alias("band"), bucket(k).alias("bucket")) for k in range(bands)))
     return signatures.select("id", F.explode(parts).alias("x")).select("x.band", "x.bucket", "id")
 
 

@@ -11,6 +11,7 @@ from textloom.functions.wordlists import BAD_WORDS, LEGAL_PHRASES, STOPWORDS
 from textloom.operators import dedup, langmodels, metrics, tokeval, urls, wordfreq
 from textloom.plans.registry import query
 from textloom.sources import jsonl
+from textloom.sources.shared import snapshot
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -280,9 +281,9 @@ x AS (SELECT a, b, similarity FROM p UNION ALL SELECT b, a, similarity FROM p UN
 z AS (SELECT ma.id, mb.id AS dup_id, similarity FROM x JOIN m ma ON ma.rep = x.a JOIN m mb ON mb.rep = x.b WHERE ma.id <> mb.id)"""
 
 
-def _sets(spark, sf_dir):
-    """The sets are read several times by one query: they are persisted, on disk where memory is short."""
-    return dedup.shingle_sets(table(spark, sf_dir, "documents"), "doc_id").persist()
+def _sets(spark, sf_dir, portable: bool = False):
+    """The sets are read several times by one query: they are a table in the shared folder, which outlives executors."""
+    return snapshot(dedup.shingle_sets(table(spark, sf_dir, "documents"), "doc_id", portable=portable), "sets")
 
 
 @query("exact_jaccard_pairs", f"WITH {_PAIRS} SELECT a, b, round(similarity, 6) AS similarity FROM p")
@@ -324,14 +325,42 @@ def near_dup_report(spark, sf_dir):
     return dedup.dedup_report(sets, None, dedup.exact_pairs(sets), 0.8, 128, 5)
 
 
-@query("minhash_lsh_pairs")
+_BANDS, _ROWS = dedup.lsh_params(0.8, 128)
+_HASH = "CAST('0x' || left(md5({}), 15) AS BIGINT)"
+_INDEX = f"""{_PAIRS},
+h AS (SELECT id, {_HASH.format("s")} % {dedup.PRIME} AS x FROM (SELECT id, unnest(sh) AS s FROM c)),
+g AS (SELECT id, [{", ".join(f"min(({a} * x + {b}) % {dedup.PRIME})" for a, b in dedup.coefficients(_BANDS * _ROWS))}] AS sig FROM h GROUP BY id),
+i AS (SELECT CAST(band AS INTEGER) AS band, {_HASH.format(f"array_to_string(sig[band * {_ROWS} + 1 : band * {_ROWS} + {_ROWS}], ',')")} AS bucket, id FROM g, range({_BANDS}) AS r(band)),
+q AS (SELECT DISTINCT v.id AS a, w.id AS b FROM i v JOIN i w ON v.band = w.band AND v.bucket = w.bucket AND v.id < w.id),
+k AS (SELECT p.a, p.b, p.similarity FROM p JOIN q ON p.a = q.a AND p.b = q.b)"""
+
+
+@query("minhash_lsh_pairs", f"WITH {_INDEX} SELECT a, b, round(similarity, 6) AS similarity FROM k")
 def minhash_lsh_pairs(spark, sf_dir):
-    return dedup.minhash_pairs(_sets(spark, sf_dir)).select("a", "b", F.round("similarity", 6).alias("similarity"))
+    return dedup.minhash_pairs(_sets(spark, sf_dir, portable=True)).select("a", "b", F.round("similarity", 6).alias("similarity"))
 
 
-@query("minhash_lsh_index")
+@query("minhash_lsh_index", f"WITH {_INDEX} SELECT band, bucket, id FROM i")
 def minhash_lsh_index(spark, sf_dir):
-    return dedup.minhash_index(_sets(spark, sf_dir))
+    return dedup.minhash_index(_sets(spark, sf_dir, portable=True))
+
+
+@query("minhash_lsh_candidates", f"WITH {_INDEX} SELECT a, b FROM q")
+def minhash_lsh_candidates(spark, sf_dir):
+    return dedup.lsh_candidates(dedup.minhash_index(_sets(spark, sf_dir, portable=True)))
+
+
+@query("minhash_report", f"""WITH {_INDEX}, copies AS (SELECT id FROM c WHERE members > 1)
+SELECT (SELECT count(*) FROM e) AS total_docs,
+  (SELECT count(*) FROM m WHERE rep IN (SELECT a FROM q UNION SELECT b FROM q UNION SELECT id FROM copies)) AS candidate_docs,
+  (SELECT count(*) FROM m WHERE rep IN (SELECT a FROM k UNION SELECT b FROM k UNION SELECT id FROM copies)) AS verified_docs,
+  (SELECT count(*) FROM (SELECT ma.id FROM k JOIN m ma ON ma.rep = k.a JOIN m mb ON mb.rep = k.b UNION ALL SELECT ma.id FROM m ma JOIN m mb ON ma.rep = mb.rep AND ma.id < mb.id)) AS verified_pairs,
+  CAST(0.8 AS DOUBLE) AS similarity_threshold, 128 AS num_permutations, 5 AS shingle_size""")
+def minhash_report(spark, sf_dir):
+    """The report as a run writes it, with the counts of LSH candidates beside those of verified documents."""
+    sets = _sets(spark, sf_dir, portable=True)
+    candidates = snapshot(dedup.lsh_candidates(dedup.minhash_index(sets)), "candidates")
+    return dedup.dedup_report(sets, candidates, dedup.verify(candidates, dedup.classes(sets), 0.8), 0.8, 128, 5)
 
 
 _CODES = [("gug", "grn"), ("gui", "grn"), ("gnw", "grn"), ("arb", "ara"), ("arz", "ara"), ("cmn", "zho"), ("nan", "zho")]

@@ -6,7 +6,6 @@ the same profiles in DuckDB's dialect.
 
 from __future__ import annotations
 
-import re
 import unicodedata
 from functools import cache
 
@@ -129,25 +128,16 @@ def contained_in(tokens: Column, words: list[str]) -> Column:
     return F.size(F.filter(tokens, lambda x: F.array_contains(known, x)))
 
 
-def any_of(phrases: list[str]) -> str:
-    """A pattern found where one of the phrases stands: a tree of their letters, so that a text is walked once for all."""
-    heads: dict[str, list[str]] = {}
-    for p in phrases:
-        heads.setdefault(p[:1], []).append(p[1:])
-    if "" in heads:
-        return ""
-    return "(?:" + "|".join(re.escape(c) + any_of(rest) for c, rest in heads.items()) + ")"
-
-
 def substring_count(text: Column, phrases: list[str]) -> Column:
     """Sum over phrases of their non-overlapping occurrences in text; a phrase given twice counts twice. Phrases are
     counted one by one only in texts that hold any."""
-    pattern = any_of(phrases)
+    # a phrase that holds another one is found by that one
+    shortest = [p for p in dict.fromkeys(phrases) if not any(q != p and q in p for q in phrases)]
 
     def of(t: Column) -> Column:
         once = lambda p: F.floor((F.length(t) - F.length(F.replace(t, p, F.lit("")))) / F.length(p))
         counts = F.aggregate(F.array(*map(F.lit, phrases)), F.lit(0).cast("long"), lambda a, p: a + once(p))
-        return F.when(~t.rlike(pattern), F.lit(0).cast("long")).otherwise(counts)
+        return F.when(~contains_any(t, shortest), F.lit(0).cast("long")).otherwise(counts)
 
     return let(text, of)
 

@@ -7,7 +7,9 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from textloom.functions import kernels
 from textloom.functions import langid as L
+from textloom.functions import text as T
 from textloom.operators import dedup, langmodels, metrics, tokeval, urls, wordfreq
 from textloom.plans import registry
 from textloom.sources import jsonl, sinks
@@ -88,6 +90,32 @@ def test_near_duplicates(spark):
     assert (r.total_docs, r.verified_docs, r.verified_pairs) == (len(rows), len(flags), len(want))
 
 
+def test_near_duplicate_pairs_keep_no_table_of_sets(spark, monkeypatch):
+    """What pairs write and shuffle are keys and the sets of candidates; the same pairs come by each hashing and order."""
+    docs = near_docs(spark)
+    want = {tuple(r) for r in dedup.exact_pairs(dedup.shingle_sets(docs, "id")).collect()}
+    written = []
+    keep = dedup.snapshot
+    monkeypatch.setattr(dedup, "snapshot", lambda df, name: written.append(df.columns) or keep(df, name))
+    monkeypatch.setattr(dedup, "CELL", 100)  # many cells
+    for hashing in ("words", "portable"):
+        sets = dedup.shingle_sets(docs, "id", hashing=hashing)
+        assert {tuple(r) for r in dedup.exact_pairs(sets, common=dedup.frequent(sets)).collect()} == want
+    assert written and all("h" not in columns for columns in written)
+
+
+def test_kernels_follow_the_profile(spark):
+    texts = ["Ñande mba'e rova abc123 x-y a- ab", "MAIL a.b@c.de ok http://x.y/z?q=1 @me #tag fin xhttp://foo bar", "İstanbul ΟΔΟΣ ʼtis “ab”cd e…f g_h _i 12ab", "ab\u0903c abc\u09031 q\u0301r", "", "?!", "w " * 7 + "v" * 300]
+    docs = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    native = {r.id: r.n for r in dedup.shingle_sets(docs, "id").collect()}
+    tokens = {r.id: (r.c, r.t) for r in docs.select("id", T.tokenize(T.canonicalize("text")).alias("c"), T.tokenize("text").alias("t")).collect()}
+    for hashing in ("words", "portable"):
+        assert {r.id: r.n for r in dedup.shingle_sets(docs, "id", hashing=hashing).collect()} == native
+    for k, t in enumerate(texts):
+        for (cp, begins), want in ((kernels.canonical([t]), tokens[k][0]), (kernels.lowered(*kernels.joined([t])), tokens[k][1])):
+            assert [kernels.characters(cp[a:b]) for a, b in zip(*kernels.spans(cp), strict=True)] == want
+
+
 def test_signatures_agree_and_parameters(spark):
     sets = dedup.shingle_sets(near_docs(spark), "id").limit(10)
     n = 20

@@ -37,7 +37,7 @@ def run_minhash(spark: SparkSession, data_dir: str, out: str, shingle_size: int
     sets = snapshot(dedup.shingle_sets(docs, "id", size=shingle_size), "shingles")
     buckets = snapshot(dedup.minhash_index(sets, similarity_threshold, num_perm), "buckets")
     candidates = snapshot(dedup.lsh_candidates(buckets), "candidates")
-    pairs = snapshot(dedup.verify(candidates, dedup.classes(sets), similarity_threshold), "pairs")
+    pairs = snapshot(dedup.verify(candidates, sets, similarity_threshold), "pairs")
     sinks.write_buckets(buckets, f"{out}/lsh")
     wide = dedup.expand(pairs, sets)
     sinks.write_jsonl(dedup.duplicate_map(wide), f"{out}/duplicates")

@@ -1,6 +1,7 @@
 """Metrics, URLs, near duplicates, language votes, tokenizer evaluation, sources, sinks and streams."""
 
 import json
+import math
 import random
 import re
 
@@ -139,6 +140,32 @@ def test_vote_and_models(spark):
     assert langmodels.LanguageIdentifier(langmodels.fasttext_model("/none")).identify(docs, k=1).where("prediction is not null").count() == 0
 
 
+def test_language_models_read_texts_once(spark, monkeypatch):
+    """Counts and features of the kernel are those of the profile's tokens, and three models cost one pass each way."""
+    monkeypatch.setattr(langmodels, "HELD", 3)  # several parts of the sums
+    rows = [(1, "Ñande mba'e rova abc123 x-y ab ABC", "gn"), (2, "İstanbul ΟΔΟΣ a@b.de http://x.y/z ok @me 한국어문 ab", "tr"), (3, "abcd abce abcf xyz", "gn"), (4, "", "gn"), (5, None, "gn"), (6, "abcd", None), (7, "12 ?!", "tr"), (8, "zzz", "gn")]
+    docs = spark.createDataFrame(rows, "id long, text string, lang string")
+    for n in (1, 2, 4, 7):
+        tokens = docs.where("lang is not null").select("lang", F.explode(T.tokenize("text")).alias("t"))
+        want = {(r.lang, r.f, r.c) for r in tokens.groupBy("lang", F.substring("t", 1, n).alias("f")).agg(F.count("*").alias("c")).collect()}
+        assert {tuple(r) for r in langmodels.beginning_counts(docs, n).collect()} == want
+    models = langmodels.NaiveBayes.train_all(docs, (2, 3, 4))
+    assert [m.table for m in models] == [langmodels.NaiveBayes.train(docs, n=n).table for n in (2, 3, 4)]
+    out = langmodels.LanguageIdentifier(*langmodels.together(models)).identify(docs, raw_output=True)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and "regexp_extract_all" not in plan
+    got = {r.id: r.prediction for r in out.collect()}
+    for i, text, _ in rows:
+        own = [] if text is None else docs.where(F.col("id") == i).select(T.tokenize("text").alias("t")).first().t
+        for m, p in zip(models, (got[i].glotlid, got[i].fasttext, got[i].openlid), strict=True):
+            if not own:
+                assert p is None
+                continue
+            s = {x: sum(m.table[x].get(t[: m.n], 0) for t in own) for x in m.table}
+            total = sum(math.exp(v - max(s.values())) for v in s.values())
+            assert {c.code: c.conf for c in p} == pytest.approx({x: math.exp(v - max(s.values())) / total for x, v in s.items()})
+
+
 def test_collisions(spark):
     df = spark.createDataFrame([(["__label__x_A", "y_B", "x"], [0.5, 0.3, 0.1])], "l array<string>, c array<double>")
     none = F.lit(None).cast("map<string,string>")

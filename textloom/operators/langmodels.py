@@ -15,11 +15,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from textloom.functions import langid as L
-from textloom.functions import text as T
+from textloom.sources.shared import python_batches
 
 Model = Callable[[Column], Column]
 RAW = "struct<labels:array<string>,confidences:array<double>>"
@@ -51,8 +53,45 @@ def absent_model() -> Model:
     return lambda text: F.lit(None).cast(RAW)
 
 
+#: Distinct beginnings that a task counts before it passes them on.
+HELD = 200_000
+
+
+def beginning_counts(docs: DataFrame, n: int, lang_col: str = "lang", text_col: str = "text") -> DataFrame:
+    """(lang, f, c): how often tokens begin with f, their first n letters, in texts of each language. A task passes its sums
+    on, so that what is shuffled grows with the vocabulary."""
+    python_batches(docs.sparkSession)
+    rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
+    kind = to_arrow_type(rows.schema["lang"].dataType)
+
+    def run(batches):
+        from textloom.functions import kernels
+
+        sums: Counter = Counter()
+
+        def taken() -> pa.RecordBatch:
+            own = [*zip(*sums, strict=True)] or [(), ()]
+            out = pa.RecordBatch.from_arrays([pa.array(own[0], kind), pa.array(own[1], pa.string()), pa.array(sums.values(), pa.int64())], ["lang", "f", "c"])
+            sums.clear()
+            return out
+
+        for b in batches:
+            langs = b.column("lang").dictionary_encode()
+            names, lang = langs.dictionary.to_pylist(), langs.indices.to_numpy()
+            for i, j, found, at, edge in kernels.heads(b.column("text").to_pylist(), n):
+                d = len(found)
+                counts = np.bincount(np.repeat(lang[i:j].astype(np.int64), np.diff(edge)) * d + at, minlength=1)
+                for k in np.flatnonzero(counts).tolist():
+                    sums[names[k // d], found[k % d]] += int(counts[k])
+                if len(sums) > HELD:
+                    yield taken()
+        yield taken()
+
+    return rows.mapInArrow(run, f"lang {rows.schema['lang'].dataType.simpleString()}, f string, c long").groupBy("lang", "f").agg(F.sum("c").alias("c"))
+
+
 class NaiveBayes:
-    """Naive Bayes over word beginnings: features are the first n letters of tokens, which are cut in the JVM.
+    """Naive Bayes over word beginnings: features are the first n letters of tokens, which functions.kernels cuts.
 
     The table holds the log-likelihoods of at most `features` features a language and is sent with the function."""
 
@@ -61,41 +100,76 @@ class NaiveBayes:
 
     @classmethod
     def train(cls, docs: DataFrame, lang_col: str = "lang", text_col: str = "text", n: int = 3, features: int = 300) -> NaiveBayes:
-        from pyspark.sql.window import Window
+        return cls.train_all(docs, (n,), lang_col, text_col, features)[0]
 
-        tokens = docs.where(F.col(lang_col).isNotNull()).select(F.col(lang_col).alias("lang"), F.explode(T.tokenize(text_col)).alias("t"))
-        counts = tokens.groupBy("lang", F.substring("t", 1, n).alias("f")).agg(F.count("*").alias("c"))
-        w = Window.partitionBy("lang").orderBy(F.desc("c"), "f")
-        rows = counts.withColumn("r", F.row_number().over(w)).where(F.col("r") <= features).collect()
+    @classmethod
+    def train_all(cls, docs: DataFrame, sizes: tuple[int, ...], lang_col: str = "lang", text_col: str = "text", features: int = 300) -> list[NaiveBayes]:
+        """A model for each n of sizes, by one pass over the texts: shorter beginnings are counted from the longest."""
         import math
 
-        langs = sorted({r.lang for r in rows})
-        total = {x: sum(r.c for r in rows if r.lang == x) for x in langs}
-        names = sorted({r.f for r in rows})
-        have = {(r.lang, r.f): r.c for r in rows}
-        table = {x: {f: math.log((have.get((x, f), 0) + 0.5) / (total[x] + 0.5 * len(names))) for f in names} for x in langs}
-        return cls(table, {x: 0.0 for x in langs}, n)
+        from pyspark.sql.window import Window
+
+        longest = beginning_counts(docs, max(sizes), lang_col, text_col)
+        each = longest.select("lang", "f", "c", F.explode(F.array(*map(F.lit, sorted(set(sizes))))).alias("n"))
+        counts = each.groupBy("n", "lang", F.substring("f", F.lit(1), F.col("n")).alias("f")).agg(F.sum("c").alias("c"))
+        w = Window.partitionBy("n", "lang").orderBy(F.desc("c"), "f")
+        found = counts.withColumn("r", F.row_number().over(w)).where(F.col("r") <= features).collect()
+
+        def model(n: int) -> NaiveBayes:
+            rows = [r for r in found if r.n == n]
+            langs = sorted({r.lang for r in rows})
+            total = {x: sum(r.c for r in rows if r.lang == x) for x in langs}
+            names = sorted({r.f for r in rows})
+            have = {(r.lang, r.f): r.c for r in rows}
+            table = {x: {f: math.log((have.get((x, f), 0) + 0.5) / (total[x] + 0.5 * len(names))) for f in names} for x in langs}
+            return cls(table, {x: 0.0 for x in langs}, n)
+
+        return [model(n) for n in sizes]
 
     def __call__(self, text: Column) -> Column:
-        langs = sorted(self.table)
-        labels = [f"__label__{x}_Latn" for x in langs]
-        scores = {f: np.array([self.table[x][f] for x in langs]) for f in self.table[langs[0]]} if langs else {}
-        prior = np.array([self.prior[x] for x in langs])
-
-        @F.pandas_udf(RAW)
-        def predict(feats: pd.Series) -> pd.DataFrame:
-            rows = []
-            for own in feats:
-                if own is None or not len(own) or not langs:
-                    rows.append((None, None))
+        return together([self])[0](text)
+
+
+def together(models: list[NaiveBayes]) -> list[Model]:
+    """The same models with one function that reads a text once for all of them."""
+    longest, known = max(m.n for m in models), []
+    for m in models:
+        langs = sorted(m.table)
+        names = list(m.table[langs[0]]) if langs else []
+        scores = np.array([[m.table[x][f] for x in langs] for f in names], float).reshape(len(names), len(langs))
+        known.append((m.n, langs, {f: k for k, f in enumerate(names)}, scores, np.array([m.prior[x] for x in langs])))
+
+    @F.pandas_udf(f"struct<{','.join(f'm{k}:{RAW}' for k in range(len(models)))}>")
+    def predict(texts: pd.Series) -> pd.DataFrame:
+        from textloom.functions import kernels
+
+        rows: list[list] = [[] for _ in known]
+        for i, j, found, at, edge in kernels.heads([t or "" for t in texts], longest):
+            some, owner = np.diff(edge) > 0, np.repeat(np.arange(j - i), np.diff(edge))
+            for (n, langs, place, scores, prior), out in zip(known, rows, strict=True):
+                row = np.array([place.get(f[:n], -1) for f in found], np.int64)[at]
+                hit = row >= 0
+                own, first = np.unique(owner[hit], return_index=True)
+                s = np.tile(prior, (j - i, 1))
+                if len(own):
+                    s[own] += np.add.reduceat(scores[row[hit]], first)
+                if not langs:
+                    out += [None] * (j - i)
                     continue
-                s = prior + sum((scores[f] * k for f, k in Counter(own).items() if f in scores), np.zeros(len(langs)))
-                e = np.exp(s - s.max())
-                rows.append((labels, e / e.sum()))
-            return pd.DataFrame(rows, columns=["labels", "confidences"])
+                e = np.exp(s - s.max(1, keepdims=True))
+                e /= e.sum(1, keepdims=True)
+                labels = [f"__label__{x}_Latn" for x in langs]
+                out += [{"labels": labels, "confidences": c} if ok else None for ok, c in zip(some.tolist(), e.tolist(), strict=True)]
+        return pd.DataFrame({f"m{k}": pd.Series(out, dtype=object) for k, out in enumerate(rows)})
+
+    def model(k: int) -> Model:
+        def of(text: Column) -> Column:
+            python_batches(SparkSession.active())
+            return predict(text)[f"m{k}"]
+
+        return of
 
-        p = predict(F.transform(T.tokenize(text), lambda t: F.substring(t, 1, self.n)))
-        return F.when(p["labels"].isNotNull(), p)
+    return [model(k) for k in range(len(models))]
 
 
 @dataclass

@@ -66,6 +66,13 @@ def test_sentence_kernel_follows_the_profile(spark, monkeypatch):
     assert got == [("1", "a", 3, 2, 0), ("1", "b", 3, 2, 1), ("2", "None", 1, 1, 0), ("None", "a", 0, 0, 1)]
 
 
+def test_reports_read_texts_once(spark):
+    """Queries of metrics split and count texts in one kernel pass, without expressions, and shuffle no text."""
+    for name in ("corpus_report", "corpus_metric_means", "sentence_word_metrics", "stopword_ratio_by_source"):
+        plan = registry.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("MapInArrow") == 1 and "regexp" not in plan and "posexplode" not in plan and "Join" not in plan, name
+
+
 def test_word_frequency(spark):
     df = spark.createDataFrame([("b a a",), ("A c",), (None,), ("",)], "text string")
     assert [tuple(r) for r in wordfreq.top_words(df, 2).collect()] == [("a", 3), ("b", 1)]

@@ -5,6 +5,7 @@ import math
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -161,6 +162,30 @@ def test_signatures_agree_and_parameters(spark):
     assert dedup.lsh_params(0.8, 128) == (9, 13) and dedup.lsh_params(0.5, 128) == (25, 5)
 
 
+def test_signatures_are_exact_remainders():
+    p = dedup.PRIME
+    rng = random.Random(5)
+    ab = [(1, 0), (p - 1, p - 1), (1, p - 1), (p - 1, 0), *dedup.coefficients(30)]
+    x = [0, 1, 2, p - 1, p - 2, *(rng.randrange(p) for _ in range(2_000))]
+    one = kernels.signatures(np.array(x, np.uint64), np.arange(len(x) + 1), ab, p)
+    assert one.tolist() == [[(a * v + b) % p for a, b in ab] for v in x]
+    cuts = [0, 0, 700, 701, len(x), len(x)]
+    many = kernels.signatures(np.array(x, np.uint64), np.array(cuts), ab, p)
+    assert many.tolist() == [one[i:j].min(0).tolist() if j > i else [0] * len(ab) for i, j in zip(cuts, cuts[1:], strict=False)]
+
+
+def test_buckets_are_made_where_texts_are_read(spark):
+    docs = near_docs(spark)
+    sets = dedup.shingle_sets(docs, "id", hashing="portable")
+    want = {r.id: r for r in dedup.bucketed(sets).collect()}
+    got = {r.id: r for r in dedup.bucketed_texts(docs, "id").collect()}
+    assert got.keys() == want.keys() and all((got[i].n, got[i].buckets) == (want[i].n, want[i].buckets) for i in want)
+    groups = lambda rows: {frozenset(i for i in rows if (rows[i].k1, rows[i].k2) == (r.k1, r.k2)) for r in rows.values()}
+    assert groups(got) == groups(want) and len(groups(got)) < len(got)
+    plan = registry.queries()["minhash_lsh_index"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "ArrowEvalPython" not in plan
+
+
 def test_vote_and_models(spark):
     with pytest.raises(ValueError):
         L.vote(F.lit(1), F.lit(1), F.lit(1), k=0)
